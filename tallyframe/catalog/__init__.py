@@ -1 +1,11 @@
 """Registered queries with the equivalent SQL."""
+
+from importlib import import_module
+
+MODULES = ["wrangling"]
+
+
+def load():
+    for name in MODULES:
+        import_module(f"tallyframe.catalog.{name}")
+    return import_module("tallyframe.catalog.registry")

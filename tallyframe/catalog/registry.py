@@ -29,10 +29,16 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
-def rnd(df: DataFrame, digits: int = 4, **special: int) -> DataFrame:
+def rounded(c, digits: int):
+    """Half away from zero by scaling, as the SQL side rounds, so ties agree."""
+    c, m = (F.col(c) if isinstance(c, str) else c), float(10**digits)
+    return F.when(c >= 0, F.floor(c * m + 0.5) / m).when(c < 0, F.ceil(c * m - 0.5) / m)
+
+
+def rnd(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
     """Round floating columns at the end, so sum order does not show."""
     return df.select(*[
-        F.round(c, special.get(c, digits)).alias(c) if t in ("double", "float") else F.col(c)
+        rounded(c, special.get(c, digits)).alias(c) if t in ("double", "float") else F.col(c)
         for c, t in df.dtypes
     ])
 
