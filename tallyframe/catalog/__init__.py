@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["wrangling"]
+MODULES = ["wrangling", "scalars", "describe", "models"]
 
 
 def load():

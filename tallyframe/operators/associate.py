@@ -26,8 +26,8 @@ def strength(r: Column) -> Column:
     """Verbal band of |r|."""
     a = F.abs(r)
     return (
-        F.when(a < 0.1, "negligible").when(a < 0.3, "weak").when(a < 0.5, "moderate")
-        .when(a < 0.7, "strong").otherwise("very strong")
+        F.when(a < 0.2, "negligible").when(a < 0.4, "weak").when(a < 0.6, "moderate")
+        .when(a < 0.8, "strong").otherwise("very strong")
     )
 
 

@@ -48,7 +48,7 @@ def mode(df: DataFrame, col: str, by: list[str] = ()) -> DataFrame:
 def crosstab(df: DataFrame, row: str, col: str, levels: list) -> DataFrame:
     """Two-way counts, rows with NULL in either column dropped."""
     kept = df.dropna(subset=[row, col])
-    return kept.groupBy(row).pivot(col, levels).agg(F.count("*")).na.fill(0, [str(v) for v in levels])
+    return kept.groupBy(row).pivot(col, levels).agg(F.count(row)).na.fill(0, [str(v) for v in levels])
 
 
 def row_percent(table: DataFrame, levels: list[str], digits: int = 1) -> DataFrame:

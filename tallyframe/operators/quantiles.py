@@ -19,7 +19,7 @@ ACCURACY = 10_000
 MARGIN = 2.5 / ACCURACY
 WHOLE = 20_000          # columns or groups up to this many rows need no bracket
 INSIDE_LIMIT = 1_000_000
-GRID = 1_000
+GRID = 100
 
 
 def type7_ranks(n: int, p: float) -> tuple[int, int, float]:
@@ -29,41 +29,42 @@ def type7_ranks(n: int, p: float) -> tuple[int, int, float]:
     return lo, min(lo + 1, n - 1), max(h - lo, 0.0)
 
 
-def order_statistics(df: DataFrame, ranks) -> dict[str, dict[int, float]]:
+def order_statistics(df: DataFrame, asked: dict) -> dict[str, dict[int, float]]:
     """Exact values at 0-based ranks of the non-NULL values of several columns.
 
-    ``ranks`` maps a column to a function of its row count that lists ranks, so
-    counts and sketches come from one job.
+    ``asked`` maps a column to (probabilities near its ranks, function from row
+    count to ranks), so counts and sketches of all columns come from one job.
     """
-    cols = list(ranks)
+    cols = list(asked)
     data = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    grid = [k / GRID for k in range(GRID + 1)]
+    near = {
+        i: [min(max(p + d, 0.0), 1.0) for p in asked[c][0] for d in (-MARGIN, MARGIN)]
+        for i, c in enumerate(cols)
+    }
     first = data.agg(*[
         F.struct(
-            F.count(f"c{i}").alias("n"),
-            F.percentile_approx(f"c{i}", grid, ACCURACY).alias("cuts"),
+            F.count(f"c{i}").alias("n"), F.min(f"c{i}").alias("mn"), F.max(f"c{i}").alias("mx"),
+            F.percentile_approx(f"c{i}", near[i], ACCURACY).alias("cuts"),
         ).alias(f"c{i}")
         for i in range(len(cols))
     ]).first()
     want, brackets, inside = {}, {}, 0
     for i, c in enumerate(cols):
         n, cuts = first[i]["n"], first[i]["cuts"]
-        want[i] = sorted({min(max(r, 0), n - 1) for r in ranks[c](n)}) if n else []
+        want[i] = sorted({min(max(r, 0), n - 1) for r in asked[c][1](n)}) if n else []
         if not n:
             continue
         if n <= WHOLE:
-            brackets[i] = [(cuts[0], cuts[-1])]
+            brackets[i] = [(first[i]["mn"], first[i]["mx"])]
             inside += n
             continue
-        spans = []
-        for r in want[i]:
-            lo = max(math.floor((r / n - MARGIN) * GRID), 0)
-            hi = min(math.ceil(((r + 1) / n + MARGIN) * GRID), GRID)
-            spans.append((cuts[lo], cuts[hi]))
-            inside += int(n * ((hi - lo) / GRID + 2 * MARGIN))
-        brackets[i] = _disjoint(spans)
+        pairs = zip(near[i][::2], near[i][1::2], cuts[::2], cuts[1::2])
+        brackets[i] = _disjoint([
+            (first[i]["mn"] if p <= 0.0 else lo, first[i]["mx"] if q >= 1.0 else hi) for p, q, lo, hi in pairs
+        ])
+        inside += int(n * 4 * MARGIN * len(asked[c][0]))
     while inside > INSIDE_LIMIT:
-        brackets, smaller = _refine(data, want, brackets, grid)
+        brackets, smaller = _refine(data, want, brackets)
         if smaller >= inside:
             break
         inside = smaller
@@ -81,8 +82,9 @@ def _disjoint(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return out
 
 
-def _refine(data: DataFrame, want, brackets, grid):
+def _refine(data: DataFrame, want, brackets):
     """Replace each bracket by the finer one that still covers its ranks."""
+    grid = [k / GRID for k in range(GRID + 1)]
     aggs, where = [], []
     for i, spans in brackets.items():
         x = F.col(f"c{i}")
@@ -168,7 +170,7 @@ def quantiles(df: DataFrame, cols, probs) -> dict[str, list[float | None]]:
             return [r for p in probs for r in type7_ranks(n, p)[:2]] if n else []
         return ranks
 
-    stats = order_statistics(df, {c: ranks_for(c) for c in cols})
+    stats = order_statistics(df, {c: (probs, ranks_for(c)) for c in cols})
     out = {}
     for c in cols:
         out[c] = []
@@ -242,7 +244,7 @@ def trimmed_mean(df: DataFrame, col: str, trim: float = 0.1) -> float | None:
         k = int(n * trim)
         return [k, n - 1 - k] if n else []
 
-    got = order_statistics(df, {col: ranks})[col]
+    got = order_statistics(df, {col: ([trim, 1.0 - trim], ranks)})[col]
     n = size["n"]
     if not n:
         return None
