@@ -132,12 +132,12 @@ def glance_sql(p, f="f"):
     return f"""round(1 - rss / tss, 8) AS r_squared, round(1 - (rss / tss) * (n - 1) / (n - {p + 1}), 8) AS adj_r_squared,
  round(sqrt(rss / (n - {p + 1})), 6) AS sigma, round(((tss - rss) / {p}) / (rss / (n - {p + 1})), 2) AS statistic,
  {f_tail(f'(((tss - rss) / {p}) / (rss / (n - {p + 1})))', str(p), f'(n - {p + 1})')} AS p_value, {p}::INT AS df,
- round(n * (ln(2 * pi() * rss / n) + 1) + 2 * ({p} + 2), 4) AS aic, round(n * (ln(2 * pi() * rss / n) + 1) + ln(n) * ({p} + 2), 4) AS bic,
+ round(n * (ln(2 * pi() * rss / n) + 1) + 2 * ({p} + 2), 2) AS aic, round(n * (ln(2 * pi() * rss / n) + 1) + ln(n) * ({p} + 2), 2) AS bic,
  (n - {p + 1})::BIGINT AS df_residual, n::BIGINT AS nobs"""
 
 
 def glance_rnd(df):
-    return rnd(df, 8, sigma=6, statistic=2, p_value=6, aic=4, bic=4)
+    return rnd(df, 8, sigma=6, statistic=2, p_value=6, aic=2, bic=2)
 
 
 @query("ols_glance", f"WITH {REG}, {FULL} SELECT {glance_sql(3)} FROM f")
@@ -233,11 +233,11 @@ def _(t):
 
 
 @query("aic_table", f"WITH {REG}, {NESTED} " + " UNION ALL ".join(
-    f"SELECT '{nm}' AS model, {i + 2}::INT AS df, round(n * (ln(2 * pi() * rss / n) + 1) + 2 * ({i} + 2), 4) AS aic FROM f{i}"
+    f"SELECT '{nm}' AS model, {i + 2}::INT AS df, round(n * (ln(2 * pi() * rss / n) + 1) + 2 * ({i} + 2), 2) AS aic FROM f{i}"
     for i, (nm, _) in enumerate(LADDER, 1)))
 def _(t):
     rows = [(nm, f.p + 2, f.aic) for nm, f in ladder_fits(t).items()]
-    return rnd(t.spark.createDataFrame(rows, "model string, df int, aic double"), 4)
+    return rnd(t.spark.createDataFrame(rows, "model string, df int, aic double"), 2)
 
 
 @query("coef_plot_data", f"WITH {REG}, {FULL} SELECT term, estimate, conf_low, conf_high FROM ({tidy_sql(XS)}) WHERE term <> '(Intercept)'")
@@ -296,15 +296,15 @@ AUG = f"""{REG}, {FULL}, aug AS (SELECT reg.*, {pred(XS)} AS fitted, {_E} AS res
  pow({_E}, 2) * {hat(XS)} / (4 * (f.rss / (f.n - 4)) * pow(1 - {hat(XS)}, 2)) AS cooksd, f.n AS n, f.rss AS rss FROM reg, f)"""
 
 
-@query("augment", f"""WITH {AUG} SELECT l_orderkey, l_linenumber, l_partkey, round(fitted, 6) AS fitted, round(resid, 6) AS resid, round(hat, 10) AS hat,
- round(std_resid, 6) AS std_resid, round(cooksd, 10) AS cooksd FROM aug""")
+@query("augment", f"""WITH {AUG} SELECT l_orderkey, l_linenumber, l_partkey, round(fitted, 6) AS fitted, round(resid, 6) AS resid, round(hat, 7) AS hat,
+ round(std_resid, 6) AS std_resid, round(cooksd, 7) AS cooksd FROM aug""")
 def _(t):
     df = reg(t)
     out = full_fit(df).augment(df)
-    return rnd(out.select("l_orderkey", "l_linenumber", "l_partkey", "fitted", "resid", "hat", "std_resid", "cooksd"), 6, hat=10, cooksd=10)
+    return rnd(out.select("l_orderkey", "l_linenumber", "l_partkey", "fitted", "resid", "hat", "std_resid", "cooksd"), 6, hat=7, cooksd=7)
 
 
-@query("influence_flags", f"""WITH {AUG} SELECT l_orderkey, l_linenumber, l_partkey, round(hat, 10) AS hat, round(cooksd, 10) AS cooksd,
+@query("influence_flags", f"""WITH {AUG} SELECT l_orderkey, l_linenumber, l_partkey, round(hat, 7) AS hat, round(cooksd, 7) AS cooksd,
  hat > 8.0 / n AS high_leverage, cooksd > 4.0 / n AS influential FROM aug WHERE hat > 8.0 / n OR cooksd > 4.0 / n""")
 def _(t):
     df = reg(t)
@@ -312,7 +312,7 @@ def _(t):
     high, infl = F.col("hat") > 2.0 * (f.p + 1) / f.n, F.col("cooksd") > 4.0 / f.n
     out = f.augment(df).withColumns({"high_leverage": high, "influential": infl}).where("high_leverage OR influential")
     return rnd(out.select("l_orderkey", "l_linenumber", "l_partkey", "hat", "cooksd", "high_leverage", "influential")
-               .orderBy(F.desc("cooksd")), 10)
+               .orderBy(F.desc("cooksd")), 7)
 
 
 @query("outlier_test", f"""WITH {AUG}, r AS (SELECT *, resid / sqrt((rss - resid * resid / (1 - hat)) / (n - 5) * (1 - hat)) AS rs FROM aug),

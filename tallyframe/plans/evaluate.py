@@ -39,6 +39,16 @@ def stratified_ranks(df: DataFrame, strata: str, keys: list[str], tie: list[str]
     return row_numbers(banded, ["__h", *tie], name="rank", by=["stratum"]).drop("__h")
 
 
+def stratified_split(df: DataFrame, strata: str, keys: list[str], tie: list[str], share: float = 0.8) -> DataFrame:
+    """Label rows train or test so each quartile band gives floor(share·n) train rows."""
+    ranked = stratified_ranks(df, strata, keys, tie)
+    sizes = dict(ranked.groupBy("stratum").count().collect())
+    cut = F
+    for band in sorted(k for k in sizes if k is not None):
+        cut = cut.when(F.col("stratum") == band, F.lit(math.floor(sizes[band] * share + 1e-9)))
+    return ranked.withColumn("part", F.when(F.col("rank") <= cut.otherwise(0), "train").otherwise("test"))
+
+
 # ── error measures ───────────────────────────────────────────────────────────
 
 def metric_columns(actual: Column, predicted: Column, train_mean: float | None = None) -> dict[str, Column]:
