@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["wrangling", "scalars", "describe", "models", "engineering"]
+MODULES = ["wrangling", "scalars", "describe", "models", "engineering", "evaluation", "charts"]
 
 
 def load():

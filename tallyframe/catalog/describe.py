@@ -282,13 +282,6 @@ def _(t):
     return rnd(stats.join(med, "p_brand").orderBy(F.desc("price_mean"), "p_brand"))
 
 
-@query("cv_summary_across", None)
-def _(t):
-    from tallyframe.catalog.models import cv_frame
-    out = fr.summarise_across(cv_frame(t), ["rmse", "mae", "r2"], {"mean": F.avg, "sd": F.stddev_samp})
-    return rnd(out)
-
-
 # ── missing values ───────────────────────────────────────────────────────────
 
 
