@@ -17,7 +17,6 @@ from tallyframe.plans import ols
 from tallyframe.plans.moments import moments
 from tallyframe.session import materialize
 
-Y = F.col("charge")
 P = pred(XS)
 E = f"(charge - {P})"
 
@@ -60,7 +59,7 @@ def scored(t):
  round(avg(abs(e / charge)) * 100, 6) AS mape, round(1 - sum(e * e) / sum(pow(charge - m, 2)), 8) AS r2_vs_train_mean FROM sc, mu""")
 def _(t):
     df, f, _train, _test = scored(t)
-    m = ev.metric_columns(Y, F.col("pred"), f.ybar)
+    m = ev.metric_columns(F.col("charge"), F.col("pred"), f.ybar)
     return rnd(df.agg(*[m[k].alias(k) for k in ("mae", "mse", "rmse", "mape", "r2_vs_train_mean")]), 6, r2_vs_train_mean=8)
 
 
@@ -74,13 +73,13 @@ def _(t):
  round(avg(abs(e / charge)) * 100, 2) AS mape, round(1 - sum(e * e) / sum(pow(charge - m, 2)), 4) AS r2 FROM sc, mu""")
 def _(t):
     df, f, _train, _test = scored(t)
-    return ev.eval_regression(df, Y, F.col("pred"), "OLS", f.ybar)
+    return ev.eval_regression(df, F.col("charge"), F.col("pred"), "OLS", f.ybar)
 
 
 @query("adj_r2", f"WITH {SCORED}, r AS (SELECT count(*) AS n, 1 - sum(e * e) / sum(pow(charge - m, 2)) AS r2 FROM sc, mu) SELECT round(1 - (1 - r2) * (n - 1) / (n - 4), 8) AS adj_r2 FROM r")
 def _(t):
     df, f, _train, _test = scored(t)
-    m = ev.metric_columns(Y, F.col("pred"), f.ybar)
+    m = ev.metric_columns(F.col("charge"), F.col("pred"), f.ybar)
     return rnd(df.agg((1 - (1 - m["r2_vs_train_mean"]) * (m["n"] - 1) / (m["n"] - f.p - 1)).alias("adj_r2")), 8)
 
 
@@ -104,7 +103,7 @@ def _(t):
     df = reg(t)
     train, _test = train_test(t)
     f = full_fit(train)
-    e2 = (Y - f.prediction()) * (Y - f.prediction())
+    e2 = (F.col("charge") - f.prediction()) * (F.col("charge") - f.prediction())
     inside = ev.bucket(SPLIT, 10) < 8
     row = df.agg(F.sqrt(F.avg(F.when(inside, e2))).alias("rmse_train"), F.sqrt(F.avg(F.when(~inside, e2))).alias("rmse_test"))
     gap = F.col("rmse_test") - F.col("rmse_train")
@@ -140,7 +139,7 @@ SELECT metric, round(avg(value), 6) AS mean, count(*) AS n, round(stddev_samp(va
 def _(t):
     ranked = ev.stratified_ranks(reg(t), "charge", SPLIT, [*SPLIT, *REST])
     folded = materialize(ranked.select("charge", *XS, ((F.col("rank") - 1) % 10).alias("fold")))
-    folds = ev.k_fold(folded, Y, ols.numeric(*XS), F.col("fold"))
+    folds = ev.k_fold(folded, F.col("charge"), ols.numeric(*XS), F.col("fold"))
     return rnd(ev.collect_metrics(folds, ["rmse", "mae", "rsq"]))
 
 
@@ -168,7 +167,7 @@ def _(t):
     train, test = train_test(t)
     m, terms, y = moment_state(train, XS)
     fits = {nm: ols.solve(m, terms, y, xs) for nm, xs in LADDER}
-    return ev.compare_on_test(test, fits, Y, next(iter(fits.values())).ybar).orderBy("rmse")
+    return ev.compare_on_test(test, fits, F.col("charge"), next(iter(fits.values())).ybar).orderBy("rmse")
 
 
 @query("error_by_band", f"""WITH {SCORED}, q AS (SELECT quantile_cont(charge, [0.25, 0.5, 0.75]) AS b FROM sc)
@@ -176,8 +175,8 @@ SELECT CASE WHEN charge <= b[1] THEN 1 WHEN charge <= b[2] THEN 2 WHEN charge <=
  round(avg(abs(e) / charge * 100), 6) AS mean_error_pct, count(*) AS n FROM sc, q GROUP BY 1""")
 def _(t):
     df = scored(t)[0]
-    band = band_by_edges(Y, quantile_edges(df, "charge"), [1, 2, 3, 4])
-    pct = F.try_divide(F.abs(Y - F.col("pred")), Y) * 100
+    band = band_by_edges(F.col("charge"), quantile_edges(df, "charge"), [1, 2, 3, 4])
+    pct = F.try_divide(F.abs(F.col("charge") - F.col("pred")), F.col("charge")) * 100
     return rnd(df.groupBy(band.alias("band")).agg(F.avg(pct).alias("mean_error_pct"), F.count("*").alias("n")))
 
 
@@ -187,7 +186,7 @@ PI = f"{SCORED}, pi AS (SELECT sc.*, pred - {half_sql(1)} AS pi_low, pred + {hal
 def with_interval(t):
     train, test = train_test(t)
     out = full_fit(train).predict_interval(test, "prediction", names=("pred", "pi_low", "pi_high"))
-    return out.withColumn("in_interval", Y.between(F.col("pi_low"), F.col("pi_high")))
+    return out.withColumn("in_interval", F.col("charge").between(F.col("pi_low"), F.col("pi_high")))
 
 
 @query("pi_coverage", f"WITH {PI} SELECT round(avg((charge BETWEEN pi_low AND pi_high)::INT) * 100, 6) AS coverage_pct, round(avg(pi_high - pi_low), 6) AS mean_width FROM pi")
@@ -217,7 +216,7 @@ va AS (SELECT g, sqrt(avg(pow({E}, 2))) AS val_rmse FROM rb JOIN f ON g // 100 =
 SELECT round((g % 100 + 1) / {PARTS}.0::DOUBLE, 6) AS fraction, round(avg(n_train), 4) AS n_train, round(avg(train_rmse), 6) AS train_rmse, round(avg(val_rmse), 6) AS val_rmse
 FROM tr JOIN va USING (g) GROUP BY 1""")
 def _(t):
-    lc = ev.learning_curve(t.spark, reg(t), Y, ols.numeric(*XS), SPLIT, PARTS, HOLD, REPS)
+    lc = ev.learning_curve(t.spark, reg(t), F.col("charge"), ols.numeric(*XS), SPLIT, PARTS, HOLD, REPS)
     return rnd(lc.groupBy("fraction").agg(F.avg("n_train").alias("n_train"), F.avg("train_rmse").alias("train_rmse"),
                                           F.avg("val_rmse").alias("val_rmse")), 6, n_train=4)
 
@@ -232,8 +231,8 @@ def _(t):
 
 
 def worst(df):
-    e = F.abs(Y - F.col("pred"))
-    return rnd(df.withColumn("abs_error", e).withColumn("pct_error", F.try_divide(e, Y) * 100).orderBy(
+    e = F.abs(F.col("charge") - F.col("pred"))
+    return rnd(df.withColumn("abs_error", e).withColumn("pct_error", F.try_divide(e, F.col("charge")) * 100).orderBy(
         F.desc("abs_error"), *SPLIT, *REST).limit(10).select(
         "l_orderkey", "l_linenumber", "charge", "pred", "abs_error", "pct_error"), 6, pct_error=4)
 
@@ -251,7 +250,7 @@ def _(t):
     train, test = train_test(t)
     f = full_fit(train)
     g, df = f.glance_row(), f.predict(test, "pred")
-    m = ev.metric_columns(Y, F.col("pred"), f.ybar)
+    m = ev.metric_columns(F.col("charge"), F.col("pred"), f.ybar)
     got = df.agg(*[m[k].alias(k) for k in ("n", "mae", "rmse", "mape", "r2_vs_train_mean")]).first()
     rows = [("size", "train", float(f.n)), ("size", "test", float(got["n"]))]
     rows += [("model", k, g[k]) for k in ("r_squared", "adj_r_squared", "sigma")]

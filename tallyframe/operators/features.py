@@ -111,7 +111,8 @@ def fit_robust(train: DataFrame, cols: list[str]) -> dict[str, tuple[float, floa
 def rescale(df: DataFrame, state: dict, suffix: str = "") -> DataFrame:
     """(x − shift) / scale; NULL where the scale is zero or unknown."""
     return df.withColumns({
-        f"{c}{suffix}": (F.col(c) - F.lit(a)) / F.lit(b or None).cast("double") for c, (a, b) in state.items()
+        f"{c}{suffix}": (F.col(c) - F.lit(a).cast("double")) / F.lit(b or None).cast("double")
+        for c, (a, b) in state.items()
     })
 
 
@@ -166,6 +167,8 @@ def equal_width_edges(df: DataFrame, col: str, bins: int) -> list[float]:
     """Edges over the range, both ends widened by a thousandth of it."""
     row = df.agg(F.min(col).cast("double"), F.max(col).cast("double")).first()
     lo, hi = row
+    if lo is None:
+        raise ValueError(f"{col} has no known value to bin")
     edges = [lo + (hi - lo) * k / bins for k in range(bins + 1)]
     edges[0] -= (hi - lo) / 1000.0
     edges[-1] += (hi - lo) / 1000.0

@@ -51,7 +51,7 @@ def order_statistics(df: DataFrame, asked: dict) -> dict[str, dict[int, float]]:
     want, brackets, inside = {}, {}, 0
     for i, c in enumerate(cols):
         n, cuts = first[i]["n"], first[i]["cuts"]
-        want[i] = sorted({min(max(r, 0), n - 1) for r in asked[c][1](n)}) if n else []
+        want[i] = sorted({min(max(r, 0), n - 1) for r in asked[c][1](n)})
         if not n:
             continue
         if n <= WHOLE:

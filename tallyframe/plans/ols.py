@@ -152,6 +152,8 @@ class Fit:
 
     @property
     def loglik(self) -> float:
+        if self.rss <= 0.0:
+            return math.inf
         return -0.5 * self.n * (math.log(2 * math.pi * self.rss / self.n) + 1.0)
 
     @property
@@ -181,7 +183,9 @@ class Fit:
 
     def glance_row(self) -> dict:
         k, d2 = self.p, self.df_resid
-        f = ((self.tss - self.rss) / k) / (self.rss / d2) if k and d2 > 0 and self.rss > 0 else math.nan
+        f = math.nan
+        if k and d2 > 0:
+            f = ((self.tss - self.rss) / k) / (self.rss / d2) if self.rss > 0 else math.inf
         return {
             "r_squared": self.r2,
             "adj_r_squared": 1.0 - (1.0 - self.r2) * (self.n - 1) / d2 if d2 > 0 else math.nan,
@@ -292,7 +296,7 @@ def anova_nested(small: Fit, big: Fit) -> dict:
 
 
 def step_criterion(f: Fit) -> float:
-    return f.n * math.log(f.rss / f.n) + 2.0 * (f.p + 1)
+    return (f.n * math.log(f.rss / f.n) if f.rss > 0 else -math.inf) + 2.0 * (f.p + 1)
 
 
 def stepwise(m: Moments, terms: dict[str, Column], y: Column, direction: str = "both",

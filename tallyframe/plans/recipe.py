@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from tallyframe.functions.scalars import date_features
 from tallyframe.operators import features
 from tallyframe.operators.frame import numeric_columns, text_columns
+from tallyframe.operators.neighbors import donors, neighbor_means
 from tallyframe.plans.moments import moments
 from tallyframe.plans.ols import polynomial, polynomial_state
+from tallyframe.session import State, materialize
 
 Apply = Callable[[DataFrame], DataFrame]
 
@@ -194,6 +196,25 @@ def impute_bag(train, cols, by: list[str], trees: int = 25, depth: int = 6, seed
     return apply
 
 
+def impute_knn(train, cols, by: str, neighbors: int = 5):
+    """Fill from the nearest training rows along one numeric predictor.
+
+    Rows whose predictor is NULL too stay NULL.
+    """
+    known = {c: materialize(donors(train, c, by)) for c in cols}
+
+    def apply(df):
+        for c, donor in known.items():
+            x = F.col(by).cast("double")
+            asked = df.where(F.col(c).isNull() & x.isNotNull()).groupBy(x.alias("x")).agg(F.count("*").alias("rows"))
+            means = neighbor_means(donor, asked, neighbors).select(F.col("x").alias("__x"), "rows", "value")
+            out = State(means, ["__x"]).attach(df.withColumn("__x", x), count_col="rows")
+            df = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col("value"))).drop("__x", "rows", "value")
+        return df
+
+    return apply
+
+
 def unknown(train, cols, label: str = "unknown"):
     return _replacing({c: F.coalesce(F.col(c), F.lit(label)) for c in cols})
 
