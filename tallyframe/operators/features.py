@@ -134,31 +134,38 @@ def yeo_johnson(x: Column, lam: float) -> Column:
     return F.when(x >= 0, up).when(x < 0, down)
 
 
-def _best_power(df: DataFrame, variances: list[Column], jacobian: Column, grid: list[float]) -> tuple:
-    row = df.agg(F.count("*").alias("n"), jacobian.alias("j"),
-                 *[v.alias(f"v{k}") for k, v in enumerate(variances)]).first()
+def _best_power(df: DataFrame, x: Column, transform, jacobian: Column, grid: list[float]) -> tuple:
+    """Profile likelihood of every power from one aggregate over all rows.
+
+    The variance of a transform comes from its mean and mean square about the
+    transform of a value near the middle, which plain sums can carry.
+    """
+    mid = df.agg(F.avg(x)).first()[0]
+    if mid is None:
+        raise ValueError("no value to fit a power on")
+    at = F.lit(float(mid))
+    parts = [transform(x, g) - transform(at, g) for g in grid]
+    row = df.agg(F.count("*").alias("n"), jacobian.alias("j"), *[
+        f.alias(f"{nm}{k}") for k, z in enumerate(parts) for f, nm in ((F.avg(z), "m"), (F.avg(z * z), "q"))
+    ]).first()
     scores = []
     for k, lam in enumerate(grid):
-        v = row[f"v{k}"]
-        scores.append(-math.inf if not v else row["n"] * (-0.5 * math.log(v) + (lam - 1.0) * row["j"]))
+        v = (row[f"q{k}"] or 0.0) - (row[f"m{k}"] or 0.0) ** 2
+        scores.append(-math.inf if v <= 0.0 else row["n"] * (-0.5 * math.log(v) + (lam - 1.0) * row["j"]))
     best = max(range(len(grid)), key=lambda k: scores[k])
     return grid[best], dict(zip(grid, scores))
 
 
 def fit_box_cox(df: DataFrame, col: str, grid: list[float] | None = None) -> tuple[float, dict]:
     """Power with the largest profile likelihood of an intercept-only model."""
-    grid = grid or power_grid()
     x = F.col(col).cast("double")
-    pos = df.where(x > 0)
-    return _best_power(pos, [F.var_pop(box_cox(x, g)) for g in grid], F.avg(F.ln(x)), grid)
+    return _best_power(df.where(x > 0), x, box_cox, F.avg(F.ln(x)), grid or power_grid())
 
 
 def fit_yeo_johnson(df: DataFrame, col: str, grid: list[float] | None = None) -> tuple[float, dict]:
-    grid = grid or power_grid()
     x = F.col(col).cast("double")
-    known = df.where(x.isNotNull())
-    return _best_power(known, [F.var_pop(yeo_johnson(x, g)) for g in grid],
-                       F.avg(F.signum(x) * F.log1p(F.abs(x))), grid)
+    jacobian = F.avg(F.signum(x) * F.log1p(F.abs(x)))
+    return _best_power(df.where(x.isNotNull()), x, yeo_johnson, jacobian, grid or power_grid())
 
 
 # ── bins ─────────────────────────────────────────────────────────────────────

@@ -89,16 +89,37 @@ def join_back(df: DataFrame, by: list[str], aggs: list[Column], source: DataFram
     return State(stats, by).attach(df, count_col="__size").drop("__size")
 
 
+def join_dimension(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], how: str = "left") -> DataFrame:
+    """Join a table with one row per key; ``how`` is left, inner, right or full.
+
+    The dimension is broadcast when it is proven small; otherwise its rows for the
+    most frequent keys are, and the rest is shuffled.  Unmatched dimension rows of
+    a right or full join come from an anti join, so a busy key never gathers.
+    """
+    left, right = [lk for lk, _ in on], [r for _, r in on]
+    keyed = dim.select(*[F.col(r).alias(lk) for lk, r in on], F.struct(*dim.columns).alias("__dim"))
+    state = State(keyed, left, stored=True)
+    out = state.attach(fact, how="left" if how in ("left", "full") else "inner")
+    made = out.select(*fact.columns, *[F.col("__dim")[c].alias(c) for c in dim.columns])
+    if how in ("left", "inner"):
+        return made
+    alone = unmatched(dim, fact, list(zip(right, left)))
+    return made.unionByName(alone, allowMissingColumns=True)
+
+
 def unmatched(df: DataFrame, other: DataFrame, on: list[tuple[str, str]]) -> DataFrame:
-    """Rows of df with no match; keys of ``other`` are reduced before they move."""
-    keys = other.select(*[F.col(r).alias(f"__r_{r}") for _, r in on]).distinct()
-    cond = [df[lk].eqNullSafe(keys[f"__r_{r}"]) for lk, r in on]
-    return df.join(keys, cond, "left_anti")
+    """Rows of df with no match in ``other``, whose keys are reduced before they move."""
+    keys = other.select(*[F.col(r).alias(lk) for lk, r in on]).distinct().withColumn("__seen", F.lit(True))
+    out = State(keys, [lk for lk, _ in on]).attach(df)
+    return out.where(F.col("__seen").isNull()).drop("__seen")
 
 
 def set_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Distinct rows of a that are not in b, each side reduced first."""
-    return a.distinct().subtract(b.distinct())
+    """Distinct rows of a that are not in b: one aggregate over both, no join."""
+    both = a.withColumn("__in_b", F.lit(0)).union(b.withColumn("__in_b", F.lit(1)))
+    return both.groupBy(*a.columns).agg(
+        F.min("__in_b").alias("__lo"), F.max("__in_b").alias("__hi")
+    ).where("__lo = 0 AND __hi = 0").drop("__lo", "__hi")
 
 
 def bind_rows(*frames: DataFrame) -> DataFrame:

@@ -7,12 +7,10 @@ be among the k nearest, so no pairs are formed.
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.operators.ordering import laid_out
+from tallyframe.operators.ordering import laid_out, with_starts
 from tallyframe.session import State
 
 
@@ -34,14 +32,9 @@ def neighbor_means(donor: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     both = both.groupBy("x").agg(F.sum("c").alias("c"), F.sum("s").alias("s"), F.sum("rows").alias("rows"))
     laid = laid_out(both, ["x"])
     is_donor = (F.col("c") > 0).cast("long")
-    sizes = dict(laid.groupBy("__part").agg(F.sum(is_donor)).collect())
-    if not sizes:
-        return both.select("x", "rows", F.lit(None).cast("double").alias("value"))
-    parts = max(sizes) + 1
-    starts = [0, *accumulate(sizes.get(p, 0) for p in range(parts))][:parts]
-    start = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("__part") + 1)
+    laid = with_starts(laid, laid.groupBy("__part").agg(F.sum(is_donor)))
     w = Window.partitionBy("__part").orderBy("__pos")       # one balanced range part each
-    placed = laid.withColumn("at", start + F.sum(is_donor).over(w))
+    placed = laid.withColumn("at", F.col("__start") + F.sum(is_donor).over(w))
     near = (
         placed.where("c > 0")
         .select(F.explode(F.sequence(F.col("at") - k, F.col("at") + (k - 1))).alias("at"),

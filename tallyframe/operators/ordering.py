@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.session import State, materialize
@@ -21,6 +24,15 @@ def laid_out(df: DataFrame, order: list) -> DataFrame:
     )
 
 
+def with_starts(laid: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Add __start, the summed size of all earlier parts (one row per part is broadcast)."""
+    rows = sorted(sizes.collect())
+    starts = [0, *accumulate(n for _, n in rows)]
+    table = laid.sparkSession.createDataFrame(
+        [(p, s) for (p, _), s in zip(rows, starts)], "__p int, __start long")
+    return laid.join(F.broadcast(table), F.col("__part") == F.col("__p"), "left").drop("__p")
+
+
 def row_numbers(df: DataFrame, order: list, name: str = "obs", by: list[str] = ()) -> DataFrame:
     """Number rows 1..n in ``order``, or within each ``by`` group.
 
@@ -28,13 +40,9 @@ def row_numbers(df: DataFrame, order: list, name: str = "obs", by: list[str] = (
     size does not matter.  ``order`` should be total to be repeatable.
     """
     laid = laid_out(df, [*by, *order])
-    sizes = dict(laid.groupBy("__part").count().collect())
-    if not sizes:
-        return laid.withColumn(name, F.lit(0).cast("long")).drop("__part", "__pos")
-    parts = max(sizes) + 1
-    starts = [0, *accumulate(sizes.get(p, 0) for p in range(parts))][:parts]
-    start = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("__part") + 1)
-    out = laid.withColumn(name, start + F.col("__pos") + 1).drop("__part", "__pos")
+    sizes = laid.groupBy("__part").count()
+    out = with_starts(laid, sizes).withColumn(name, F.col("__start") + F.col("__pos") + 1)
+    out = out.drop("__part", "__pos", "__start")
     if not by:
         return out
     first = out.groupBy(*by).agg(F.min(name).alias("__first"), F.count("*").alias("__size"))
@@ -45,39 +53,59 @@ def row_numbers(df: DataFrame, order: list, name: str = "obs", by: list[str] = (
 def adjacent_sums(df: DataFrame, value: Column, order: list, by: list[str] = ()) -> dict:
     """Σ(vₜ−vₜ₋₁)², Σ|vₜ−vₜ₋₁|, Σv², pairs and rows over neighbours in order.
 
-    Pairs lie within a ``by`` group.  Neighbours inside a range part come from a
-    window over that part; the pairs across part borders are added from one
-    first and one last row per part.
+    Pairs lie within a ``by`` group.  One range sort; each task folds its run of
+    rows as it streams by and reports one row, and the pairs across run borders
+    are added from the first and last values of neighbouring runs.
     """
-    laid = laid_out(df.select(*by, *order, value.alias("__v")), [*by, *order])
-    w = Window.partitionBy("__part").orderBy("__pos")
-    gap = F.col("__v") - F.lag("__v").over(w)
-    if by:
-        same = F.lit(True)
-        for k in by:
-            same = same & F.col(k).eqNullSafe(F.lag(k).over(w))
-        gap = F.when(same, gap)
-    key = F.struct(*by, "__v")
-    rows = (
-        laid.withColumn("__gap", gap).groupBy("__part").agg(
-            F.sum(F.col("__gap") * F.col("__gap")).alias("sq"),
-            F.sum(F.abs("__gap")).alias("ab"), F.count("__gap").alias("pairs"),
-            F.sum(F.col("__v") * F.col("__v")).alias("vv"), F.count("*").alias("n"),
-            F.min_by(key, "__pos").alias("head"), F.max_by(key, "__pos").alias("tail"),
-        ).orderBy("__part").collect()
-    )
+    key = F.to_json(F.struct(*by)) if by else F.lit("")
+    runs = df.select(*by, *order, value.alias("__v")).orderBy(*by, *order).select(
+        key.alias("k"), F.col("__v").cast("double").alias("v"))
+    rows = runs.mapInArrow(_fold_run, (
+        "part int, sq double, ab double, pairs long, vv double, n long, "
+        "k0 string, v0 double, k1 string, v1 double")).collect()
     out = {"sq": 0.0, "abs": 0.0, "pairs": 0, "vv": 0.0, "n": 0}
     last = None
-    for r in rows:
-        out["sq"] += r["sq"] or 0.0
-        out["abs"] += r["ab"] or 0.0
-        out["vv"] += r["vv"] or 0.0
+    for r in sorted(rows, key=lambda r: r["part"]):
+        out["sq"] += r["sq"]
+        out["abs"] += r["ab"]
+        out["vv"] += r["vv"]
         out["pairs"] += r["pairs"]
         out["n"] += r["n"]
-        if last is not None and tuple(last)[:-1] == tuple(r["head"])[:-1]:
-            gap = r["head"]["__v"] - last["__v"]
+        if last is not None and last["k1"] == r["k0"]:
+            gap = r["v0"] - last["v1"]
             out["sq"] += gap * gap
             out["abs"] += abs(gap)
             out["pairs"] += 1
-        last = r["tail"]
+        last = r
     return out
+
+
+def _fold_run(batches):
+    """One row of sums over a sorted partition, with its first and last values."""
+    sq = ab = vv = 0.0
+    pairs = n = 0
+    first = last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = batch.column(0).to_numpy(zero_copy_only=False)
+        v = batch.column(1).to_numpy(zero_copy_only=False)
+        first = first or (k[0], float(v[0]))
+        if last is not None:
+            k, v = np.append([last[0]], k), np.append([last[1]], v)
+        gap = np.diff(v)[k[1:] == k[:-1]]
+        sq += float(gap @ gap)
+        ab += float(np.abs(gap).sum())
+        pairs += len(gap)
+        own = v[len(v) - batch.num_rows:]
+        vv += float(own @ own)
+        n += batch.num_rows
+        last = (k[-1], float(v[-1]))
+    if n:
+        part = TaskContext.get().partitionId()
+        row = (part, sq, ab, pairs, vv, n, *first, *last)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x], t) for x, t in zip(row, (
+                pa.int32(), pa.float64(), pa.float64(), pa.int64(), pa.float64(), pa.int64(),
+                pa.string(), pa.float64(), pa.string(), pa.float64()))],
+            names=["part", "sq", "ab", "pairs", "vv", "n", "k0", "v0", "k1", "v1"])

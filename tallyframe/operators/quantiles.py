@@ -9,7 +9,9 @@ passes cut them finer first.  Rows far from a wanted rank never move.
 from __future__ import annotations
 
 import math
+import sys
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ MARGIN = 2.5 / ACCURACY
 WHOLE = 20_000          # columns or groups up to this many rows need no bracket
 INSIDE_LIMIT = 1_000_000
 GRID = 100
+BIG = math.nextafter(sys.float_info.max, 0.0)
 
 
 def type7_ranks(n: int, p: float) -> tuple[int, int, float]:
@@ -29,6 +32,12 @@ def type7_ranks(n: int, p: float) -> tuple[int, int, float]:
     return lo, min(lo + 1, n - 1), max(h - lo, 0.0)
 
 
+def _known(x: Column) -> Column:
+    """x as a finite double: NaN counts as missing, infinities as the largest values."""
+    x = x.cast("double")
+    return F.when(F.isnan(x), F.lit(None)).when(x > BIG, BIG).when(x < -BIG, -BIG).otherwise(x)
+
+
 def order_statistics(df: DataFrame, asked: dict) -> dict[str, dict[int, float]]:
     """Exact values at 0-based ranks of the non-NULL values of several columns.
 
@@ -36,7 +45,7 @@ def order_statistics(df: DataFrame, asked: dict) -> dict[str, dict[int, float]]:
     count to ranks), so counts and sketches of all columns come from one job.
     """
     cols = list(asked)
-    data = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    data = df.select(*[_known(F.col(c)).alias(f"c{i}") for i, c in enumerate(cols)])
     near = {
         i: [min(max(p + d, 0.0), 1.0) for p in asked[c][0] for d in (-MARGIN, MARGIN)]
         for i, c in enumerate(cols)
@@ -113,24 +122,33 @@ def _refine(data: DataFrame, want, brackets):
     return {i: _disjoint(s) for i, s in out.items() if s}, inside
 
 
-def _region(x: Column, spans) -> Column:
-    """0, 2, 4… between brackets and 1, 3, 5… inside them; NULL for NULL."""
-    out = F
-    for j, (lo, hi) in enumerate(spans):
-        out = out.when(x < lo, 2 * j).when(x <= hi, 2 * j + 1)
-    return out.when(x.isNotNull(), 2 * len(spans))
+def _regions(data: DataFrame, brackets) -> DataFrame:
+    """Column r<i>: 0, 2, 4… between the brackets of c<i> and 1, 3, 5… inside them.
+
+    The JVM-side bucketizer searches the edges, so many brackets cost little.  It
+    is closed on the left only; a bracket's upper edge becomes the next double.
+    """
+    edges = []
+    for spans in brackets.values():
+        cuts = [-math.inf]
+        for lo, hi in spans:
+            cuts += [lo, math.nextafter(hi, math.inf)]
+        edges.append([*cuts, math.inf])
+    return Bucketizer(
+        inputCols=[f"c{i}" for i in brackets], outputCols=[f"r{i}" for i in brackets],
+        splitsArray=edges, handleInvalid="keep",
+    ).transform(data)
 
 
 def _count_regions(data: DataFrame, brackets) -> dict[int, list]:
     if not brackets:
         return {}
-    entries = []
-    for i, spans in brackets.items():
-        x, region = F.col(f"c{i}"), _region(F.col(f"c{i}"), spans)
-        entries.append(F.struct(
-            F.lit(i).alias("i"), region.alias("region"),
-            F.when(region % 2 == 1, x).alias("x"),
-        ))
+    data = _regions(data, brackets)
+    entries = [
+        F.struct(F.lit(i).alias("i"), F.col(f"r{i}").cast("int").alias("region"),
+                 F.when(F.col(f"r{i}") % 2 == 1, F.col(f"c{i}")).alias("x"))
+        for i in brackets
+    ]
     if len(entries) == 1:
         long = data.select(entries[0].alias("e"))
     else:
@@ -154,7 +172,7 @@ def _pick(want: list[int], counted: list) -> dict[int, float]:
         while r is not None and r < seen + n:
             if x is None:
                 raise RuntimeError("rank fell outside its bracket")
-            out[r] = x
+            out[r] = x if abs(x) < BIG else math.copysign(math.inf, x)
             r = next(it, None)
         seen += n
     return out
@@ -180,7 +198,7 @@ def quantiles(df: DataFrame, cols, probs) -> dict[str, list[float | None]]:
                 continue
             lo, hi, w = type7_ranks(counts[c], p)
             a, b = stats[c][lo], stats[c][hi]
-            out[c].append(a + w * (b - a))
+            out[c].append(a if w == 0.0 or a == b else a + w * (b - a))
     return out
 
 
@@ -188,47 +206,49 @@ def grouped_quantiles(df: DataFrame, by: list[str], col: str, probs: list[float]
                       names: list[str]) -> DataFrame:
     """Exact type-7 quantiles per group as one row per group.
 
-    Groups may be of any size: the values of a group spread over all tasks, and
-    only distinct values inside its brackets are ranked together.
+    Groups may be of any size: rows are counted by bracket where they lie, and only
+    the distinct values inside one bracket of one group are ranked together.
     """
-    base = df.select(*by, F.col(col).cast("double").alias("__x")).where(F.col("__x").isNotNull())
+    x, k = F.col("__x"), len(probs)
+    base = df.select(*by, _known(F.col(col)).alias("__x")).where(x.isNotNull())
     asked = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-MARGIN, MARGIN)]
     sketch = base.groupBy(*by).agg(
-        F.count("*").alias("__n"), F.min("__x").alias("__mn"), F.max("__x").alias("__mx"),
-        F.percentile_approx("__x", asked, ACCURACY).alias("__cuts"),
-    )
-    joined = State(sketch, by).attach(base, count_col="__n", how="inner")
-    x, whole = F.col("__x"), F.col("__n") <= WHOLE
-    entries = []
-    for j in range(len(probs)):
-        lo = F.when(whole, F.col("__mn")).otherwise(F.col("__cuts")[2 * j])
-        hi = F.when(whole, F.col("__mx")).otherwise(F.col("__cuts")[2 * j + 1])
-        entries.append(F.when(x < lo, F.struct(F.lit(j).alias("j"), F.lit(None).cast("double").alias("v")))
-                       .when(x <= hi, F.struct(F.lit(j).alias("j"), x.alias("v"))))
-    counted = (
-        joined.select(*by, "__n", F.explode(F.array_compact(F.array(*entries))).alias("e"))
-        .groupBy(*by, F.col("e.j").alias("j"), F.col("e.v").alias("v"))
-        .agg(F.count("*").alias("c"), F.max("__n").alias("n"))
-    )
-    w = Window.partitionBy(*by, "j").orderBy(F.col("v").asc_nulls_first())
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("j") + 1)
-    h = (F.col("n") - 1) * prob
-    lo = F.floor(h + 1e-9)
-    end = F.col("end")
-    hit = lambda rank: (end - F.col("c") <= rank) & (rank < end)
-    picked = (
-        counted.withColumn("end", F.sum("c").over(w))
-        .groupBy(*by, "j")
-        .agg(
-            F.max(F.when(hit(lo), F.col("v"))).alias("a"),
-            F.max(F.when(hit(F.least(lo + 1, F.col("n") - 1)), F.col("v"))).alias("b"),
-            F.max(F.greatest(h - lo, F.lit(0.0))).alias("w"),
-        )
-        .withColumn("q", F.col("a") + F.col("w") * (F.col("b") - F.col("a")))
-    )
-    return picked.groupBy(*by).agg(
-        *[F.max(F.when(F.col("j") == j, F.col("q"))).alias(nm) for j, nm in enumerate(names)]
+        F.count("*").alias("__n"), F.min(x).alias("__mn"), F.max(x).alias("__mx"),
+        F.percentile_approx(x, asked, ACCURACY).alias("__cuts"),
     )
+    whole = F.col("__n") <= WHOLE
+    edges = [
+        F.when(whole | F.lit(p <= 0.0 or p >= 1.0), F.col(end)).otherwise(F.col("__cuts")[i]).alias(f"__e{i}")
+        for i, (p, end) in enumerate(zip(asked, ["__mn", "__mx"] * k))
+    ]
+    joined = State(sketch.select(*by, "__n", *edges), by).attach(base, count_col="__n", how="inner")
+    # The number of bracket edges passed grows with x and is the same either for
+    # a gap between brackets or for a run of values inside them.
+    passed, inside = F.lit(0), F.lit(False)
+    for j in range(k):
+        lo, hi = F.col(f"__e{2 * j}"), F.col(f"__e{2 * j + 1}")
+        passed = passed + (x >= lo).cast("int") + (x > hi).cast("int")
+        inside = inside | x.between(lo, hi)
+    counted = joined.groupBy(*by, passed.alias("__s"), F.when(inside, x).alias("__v")).agg(
+        F.count("*").alias("__c"), F.max("__n").alias("__n"))
+    runs = counted.groupBy(*by, "__s").agg(F.sum("__c").alias("__run"))
+    before = F.sum("__run").over(Window.partitionBy(*by).orderBy("__s")) - F.col("__run")
+    runs = runs.select(*[F.col(b).alias(f"__k_{b}") for b in by], F.col("__s").alias("__rs"), before.alias("__before"))
+    cond = [F.col(b).eqNullSafe(F.col(f"__k_{b}")) for b in by]
+    placed = counted.where(F.col("__v").isNotNull()).join(runs, [*cond, F.col("__s") == F.col("__rs")])
+    upto = F.sum("__c").over(Window.partitionBy(*by, "__s").orderBy("__v"))
+    placed = placed.withColumn("__end", F.col("__before") + upto)
+
+    def at(rank):
+        return F.max(F.when((F.col("__end") - F.col("__c") <= rank) & (rank < F.col("__end")), F.col("__v")))
+
+    out = []
+    for p, nm in zip(probs, names):
+        h = (F.col("__n") - 1) * float(p)
+        lo = F.floor(h + 1e-9)
+        a, b = at(lo), at(F.least(lo + 1, F.col("__n") - 1))
+        out.append((a + F.max(F.greatest(h - lo, F.lit(0.0))) * (b - a)).alias(nm))
+    return placed.groupBy(*by).agg(*out)
 
 
 def median(df: DataFrame, col: str) -> float | None:

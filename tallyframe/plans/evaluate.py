@@ -107,11 +107,17 @@ def k_fold(df: DataFrame, y: Column, terms: dict[str, Column], fold: Column) ->
     parts = grouped_moments(df, {**terms, Y: y.cast("double")}, fold)
     whole = total(parts.values())
     fits = {k: solve(whole - m, terms, y, target=Y) for k, m in parts.items()}
-    pred, base = F, F
-    for k in sorted(fits):
-        pred = pred.when(fold == k, fits[k].prediction())
-        base = base.when(fold == k, F.lit(fits[k].ybar))
-    scored = df.select(fold.alias("fold"), y.alias("__a"), pred.alias("__p"), base.alias("__m")).dropna()
+    names = list(terms)
+    table = df.sparkSession.createDataFrame(
+        [(k, f.intercept, f.ybar, *[f.coef.get(nm, 0.0) for nm in names]) for k, f in fits.items()],
+        ["__k", "__a0", "__m", *[f"__b{i}" for i in range(len(names))]])
+    rows = df.select(fold.alias("fold"), y.cast("double").alias("__a"), *[
+        c.cast("double").alias(f"__x{i}") for i, c in enumerate(terms.values())]).dropna()
+    pred = F.col("__a0")
+    for i in range(len(names)):
+        pred = pred + F.col(f"__b{i}") * F.col(f"__x{i}")
+    # One coefficient row per fold.
+    scored = rows.join(F.broadcast(table), rows["fold"] == table["__k"]).withColumn("__p", pred)
     e = F.col("__a") - F.col("__p")
     d = F.col("__a") - F.col("__m")
     return scored.groupBy("fold").agg(

@@ -36,51 +36,55 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 class State:
-    """Per-key fitted state: a local table when proven small, else a written one."""
+    """Per-key state: a local table when proven small, else a distributed one.
 
-    def __init__(self, df: DataFrame, keys: list[str], max_rows: int = SMALL_ROWS):
+    ``keys`` identify a row.  Computed state too large for the driver is written
+    once; a stored table (``stored=True``) is used where it lies.
+    """
+
+    def __init__(self, df: DataFrame, keys: list[str], max_rows: int = SMALL_ROWS, stored: bool = False):
         self.keys = keys
-        rows = df.take(max_rows + 1)
-        self.small = len(rows) <= max_rows
-        if self.small:
-            self.df = df.sparkSession.createDataFrame(rows, df.schema)
-        else:
-            self.df = materialize(df)
+        kept = df if stored else df.persist()
+        try:
+            rows = kept.take(max_rows + 1)
+            self.small = len(rows) <= max_rows
+            if self.small:
+                self.df = df.sparkSession.createDataFrame(rows, df.schema)
+            else:
+                self.df = df if stored else materialize(kept)
+        finally:
+            if not stored:
+                kept.unpersist()
 
     def attach(self, df: DataFrame, count_col: str | None = None, how: str = "left") -> DataFrame:
         """Join the state onto df by its keys; NULL keys match NULL keys.
 
-        Small state is broadcast.  Otherwise the HOT_KEYS most frequent keys
-        (``count_col``) are broadcast and their rows are spread over all tasks,
-        so no single key can fill one join task.
+        Small state is broadcast.  Otherwise the HOT_KEYS most frequent keys are
+        broadcast and their rows are spread over all tasks, so no single key can
+        fill one join task.  Frequencies come from ``count_col`` of the state or,
+        without one, from a count of df's keys.
         """
         keys = self.keys
         cols = [c for c in self.df.columns if c not in keys]
-        right = self.df.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *cols)
-        cond = [df[k].eqNullSafe(right[f"__k_{k}"]) for k in keys]
-        drop = [f"__k_{k}" for k in keys]
+        mine = [f"__k_{k}" for k in keys]
+        right = self.df.select(*[F.col(k).alias(m) for k, m in zip(keys, mine)], *cols)
         if self.small:
-            return df.join(F.broadcast(right), cond, how).drop(*drop)
-        if count_col is None:
-            return df.join(right, cond, how).drop(*drop)
-        spark = df.sparkSession
-        top = right.orderBy(F.desc(count_col), *drop).limit(HOT_KEYS)
-        hot = spark.createDataFrame(top.collect(), right.schema)
-        hot = hot.select(
-            *[F.col(f"__k_{k}").alias(f"__h_{k}") for k in keys],
-            F.struct(*cols).alias("__hot"),
-        )
-        out = df.join(
-            F.broadcast(hot), [df[k].eqNullSafe(hot[f"__h_{k}"]) for k in keys], "left"
-        ).withColumn(
-            "__slot",
-            F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(
-                F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("int") + 1
-            ),
-        )
-        cold = right.withColumn("__zero", F.lit(0))
-        cold = cold.select(*drop, "__zero", F.struct(*cols).alias("__cold"))
-        cond = [out[k].eqNullSafe(cold[f"__k_{k}"]) for k in keys]
+            cond = [df[k].eqNullSafe(right[m]) for k, m in zip(keys, mine)]
+            return df.join(F.broadcast(right), cond, how).drop(*mine)
+        if count_col is not None:
+            top = right.orderBy(F.desc(count_col), *mine).limit(HOT_KEYS)
+        else:
+            often = df.groupBy(*keys).agg(F.count("*").alias("__n")).orderBy(F.desc("__n"), *keys).limit(HOT_KEYS)
+            cond = [right[m].eqNullSafe(often[k]) for k, m in zip(keys, mine)]
+            top = right.join(F.broadcast(often), cond, "left_semi")
+        hot = df.sparkSession.createDataFrame(top.collect(), right.schema).select(
+            *[F.col(m).alias(f"__h_{k}") for k, m in zip(keys, mine)], F.struct(*cols).alias("__hot"))
+        cond = [df[k].eqNullSafe(hot[f"__h_{k}"]) for k in keys]
+        slot = F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("int") + 1)
+        out = df.join(F.broadcast(hot), cond, "left").withColumn("__slot", slot)
+        cold = right.select(*mine, F.lit(0).alias("__zero"), F.struct(*cols).alias("__cold"))
+        cond = [out[k].eqNullSafe(cold[m]) for k, m in zip(keys, mine)]
         out = out.join(cold, [*cond, out["__slot"] == cold["__zero"]], "left")
         picked = F.coalesce("__hot", "__cold")
         if how == "inner":

@@ -74,8 +74,8 @@ def test_trimmed_mean_with_ties(spark, tight, trim):
     assert quantiles.trimmed_mean(df, "x", trim) == pytest.approx(x[k: len(x) - k].mean())
 
 
-@pytest.mark.parametrize("max_rows", [1, 1000])
-def test_state_join_is_whole_and_matches_null(spark, max_rows, monkeypatch):
+@pytest.mark.parametrize("max_rows,count_col", [(1, "n"), (1, None), (1000, "n")])
+def test_state_join_is_whole_and_matches_null(spark, max_rows, count_col, monkeypatch):
     monkeypatch.setattr("tallyframe.session.HOT_KEYS", 2)
     rows = [(1, i) for i in range(300)] + [(None, i) for i in range(200)] + [(k, k) for k in range(2, 40)] + [(99, 0)]
     df = spark.createDataFrame(rows, "k int, v long")
@@ -87,7 +87,7 @@ def test_state_join_is_whole_and_matches_null(spark, max_rows, monkeypatch):
         sums[k] = sums.get(k, 0) + v
     sums[99] = None
     for how, size in (("left", len(rows)), ("inner", len(rows) - 1)):
-        out = state.attach(df, count_col="n", how=how).collect()
+        out = state.attach(df, count_col=count_col, how=how).collect()
         assert len(out) == size
         assert all(r["s"] == sums[r["k"]] for r in out)
 
@@ -143,3 +143,22 @@ def test_set_difference_and_unmatched(spark):
     b = spark.createDataFrame([(2,), (None,), (None,)], "k int")
     assert [r[0] for r in fr.set_difference(a, b).collect()] == [1]
     assert [r[0] for r in fr.unmatched(a, b, [("k", "k")]).collect()] == [1, 1]
+
+
+@pytest.mark.parametrize("small", [0, 1000])
+@pytest.mark.parametrize("how", ["left", "inner", "right", "full"])
+def test_join_dimension_equals_plain_join(spark, how, small, monkeypatch):
+    monkeypatch.setattr("tallyframe.session.SMALL_ROWS", small)
+    monkeypatch.setattr("tallyframe.session.State.__init__.__defaults__", (small, False), raising=False)
+    monkeypatch.setattr("tallyframe.session.HOT_KEYS", 2)
+    fact = spark.createDataFrame([(i, i % 3 if i % 2 else i % 40) for i in range(400)] + [(900, 77)], "id int, k int")
+    dim = spark.createDataFrame([(k, f"d{k}") for k in range(0, 60)], "d int, name string")
+    got = fr.join_dimension(fact, dim, [("k", "d")], how).select("id", "k", "d", "name")
+    want = fact.join(dim, fact.k == dim.d, how).select("id", "k", "d", "name")
+    order = lambda df: sorted(map(repr, df.collect()))
+    assert order(got) == order(want)
+
+
+def test_infinities_and_nan(spark):
+    df = spark.createDataFrame([(float("inf"),), (1.0,), (float("nan"),), (float("-inf"),), (2.0,)], "x double")
+    assert quantiles.quantiles(df, ["x"], [0.0, 1 / 3, 1.0])["x"] == [float("-inf"), 1.0, float("inf")]
