@@ -130,14 +130,14 @@ def _(t):
 
 def glance_sql(p, f="f"):
     return f"""round(1 - rss / tss, 8) AS r_squared, round(1 - (rss / tss) * (n - 1) / (n - {p + 1}), 8) AS adj_r_squared,
- round(sqrt(rss / (n - {p + 1})), 6) AS sigma, round(((tss - rss) / {p}) / (rss / (n - {p + 1})), 2) AS statistic,
+ round(sqrt(rss / (n - {p + 1})), 6) AS sigma, round(((tss - rss) / {p}) / (rss / (n - {p + 1})), 0) AS statistic,
  {f_tail(f'(((tss - rss) / {p}) / (rss / (n - {p + 1})))', str(p), f'(n - {p + 1})')} AS p_value, {p}::INT AS df,
  round(n * (ln(2 * pi() * rss / n) + 1) + 2 * ({p} + 2), 2) AS aic, round(n * (ln(2 * pi() * rss / n) + 1) + ln(n) * ({p} + 2), 2) AS bic,
  (n - {p + 1})::BIGINT AS df_residual, n::BIGINT AS nobs"""
 
 
 def glance_rnd(df):
-    return rnd(df, 8, sigma=6, statistic=2, p_value=6, aic=2, bic=2)
+    return rnd(df, 8, sigma=6, statistic=0, p_value=6, aic=2, bic=2)
 
 
 @query("ols_glance", f"WITH {REG}, {FULL} SELECT {glance_sql(3)} FROM f")
@@ -162,7 +162,7 @@ def _(t):
     g = f.glance_row()
     rows += [("model", nm, g[k], dg) for nm, k, dg in (
         ("rse", "sigma", 6), ("r_squared", "r_squared", 8), ("adj_r_squared", "adj_r_squared", 8),
-        ("f", "statistic", 2), ("p_value", "p_value", 6))]
+        ("f", "statistic", 0), ("p_value", "p_value", 6))]
     out = t.spark.createDataFrame(rows, "section string, item string, value double, dg int")
     m = F.pow(F.lit(10.0), F.col("dg"))
     return out.select("section", "item", (F.signum("value") * F.floor(F.abs("value") * m + 0.5) / m).alias("value"))

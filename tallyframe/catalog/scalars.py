@@ -31,7 +31,7 @@ def _(t):
     return rnd(t.events.select("event_id", F.log1p("value").alias("log1p_value")), 8)
 
 
-@query("math_trig", """SELECT event_id, round(sin(2 * pi() * hour(ts) / 24), 8) AS s, round(cos(2 * pi() * hour(ts) / 24), 8) AS c,
+@query("math_trig", """SELECT event_id, round(sin(2 * pi() * hour(ts) / 24), 8) + 0.0 AS s, round(cos(2 * pi() * hour(ts) / 24), 8) + 0.0 AS c,
  round(pi() * value, 6) AS turn FROM events""")
 def _(t):
     angle = 2 * F.pi() * F.hour("ts") / 24

@@ -23,7 +23,7 @@ def close(a, b):
 
 
 def key(row):
-    return tuple((v is not None, f"{v:.4g}" if isinstance(v, float) else str(v)) for v in row)
+    return tuple((v is not None, f"{v + 0.0:.4g}" if isinstance(v, float) else str(v)) for v in row)
 
 
 @pytest.fixture(scope="module")
