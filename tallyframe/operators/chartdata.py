@@ -82,13 +82,11 @@ def density(df: DataFrame, col: str, by: list[str] = (), points: int = 64, bins:
 
 def box_stats(df: DataFrame, by: list[str], col: str, mult: float = 1.5) -> DataFrame:
     """Quartiles, whiskers and outlier count per group."""
-    q = grouped_quantiles(df, by, col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    sizes = df.groupBy(*by).agg(F.count(col).alias("n"))
-    q = State(State(q, by).attach(sizes), by)
+    q = State(grouped_quantiles(df, by, col, [0.25, 0.5, 0.75], ["q1", "median", "q3"], count="__n"), by)
     x = F.col(col)
     iqr = F.col("q3") - F.col("q1")
     inside = ~outside(x, (F.col("q1") - mult * iqr, F.col("q3") + mult * iqr))
-    return q.attach(df, count_col="n").where(x.isNotNull()).groupBy(*by).agg(
+    return q.attach(df, count_col="__n").where(x.isNotNull()).groupBy(*by).agg(
         F.max("q1").alias("q1"), F.max("median").alias("median"), F.max("q3").alias("q3"),
         F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"),

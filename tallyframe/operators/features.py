@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,10 +43,7 @@ class GroupMedian:
 
     def __init__(self, train: DataFrame, by: list[str], col: str):
         self.col = col
-        med = grouped_quantiles(train, by, col, [0.5], ["__med"])
-        sizes = train.groupBy(*by).agg(F.count("*").alias("__size"))
-        cond = [sizes[k].eqNullSafe(med[k]) for k in by]
-        self.state = State(sizes.join(med, cond, "left").select(*[sizes[k] for k in by], "__med", "__size"), by)
+        self.state = State(grouped_quantiles(train, by, col, [0.5], ["__med"], count="__size"), by)
 
     def apply(self, df: DataFrame) -> DataFrame:
         out = self.state.attach(df, count_col="__size")
@@ -134,38 +133,64 @@ def yeo_johnson(x: Column, lam: float) -> Column:
     return F.when(x >= 0, up).when(x < 0, down)
 
 
-def _best_power(df: DataFrame, x: Column, transform, jacobian: Column, grid: list[float]) -> tuple:
-    """Profile likelihood of every power from one aggregate over all rows.
+def _np_box_cox(ln_x, lam):
+    return ln_x if abs(lam) < 1e-10 else np.expm1(lam * ln_x) / lam
 
-    The variance of a transform comes from its mean and mean square about the
-    transform of a value near the middle, which plain sums can carry.
+
+def _np_yeo_johnson(signed_log, lam):
+    """From sign(x)·log(1+|x|), which both arms are powers of."""
+    up = signed_log if abs(lam) < 1e-10 else np.expm1(lam * signed_log) / lam
+    two = 2.0 - lam
+    down = signed_log if abs(two) < 1e-10 else -np.expm1(-two * signed_log) / two
+    return np.where(signed_log >= 0, up, down)
+
+
+def _best_power(logs: DataFrame, transform, grid: list[float]) -> tuple[float, dict]:
+    """Profile likelihood of every power from one pass over all rows.
+
+    ``logs`` has one column v of logarithms.  Forty powers per value are cheap on
+    Arrow batches; each task reports one row of sums per power, taken about the
+    transform of a value near the middle to keep digits.
     """
-    mid = df.agg(F.avg(x)).first()[0]
-    if mid is None:
+    at = logs.agg(F.avg("v")).first()[0]
+    if at is None:
         raise ValueError("no value to fit a power on")
-    at = F.lit(float(mid))
-    parts = [transform(x, g) - transform(at, g) for g in grid]
-    row = df.agg(F.count("*").alias("n"), jacobian.alias("j"), *[
-        f.alias(f"{nm}{k}") for k, z in enumerate(parts) for f, nm in ((F.avg(z), "m"), (F.avg(z * z), "q"))
-    ]).first()
-    scores = []
-    for k, lam in enumerate(grid):
-        v = (row[f"q{k}"] or 0.0) - (row[f"m{k}"] or 0.0) ** 2
-        scores.append(-math.inf if v <= 0.0 else row["n"] * (-0.5 * math.log(v) + (lam - 1.0) * row["j"]))
-    best = max(range(len(grid)), key=lambda k: scores[k])
-    return grid[best], dict(zip(grid, scores))
+    mid = [float(transform(np.array([at]), g)[0]) for g in grid]
+
+    def fold(batches):
+        n, j, sums = 0, 0.0, np.zeros((len(grid), 2))
+        for batch in batches:
+            v = batch.column(0).to_numpy(zero_copy_only=False)
+            n, j = n + len(v), j + float(v.sum())
+            for k, g in enumerate(grid):
+                z = transform(v, g) - mid[k]
+                sums[k] += z.sum(), z @ z
+        if n:
+            k = len(grid)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.arange(k), pa.int32()), pa.array(np.full(k, n), pa.int64()), pa.array(np.full(k, j)),
+                pa.array(sums[:, 0]), pa.array(sums[:, 1])], names=["k", "n", "j", "s", "q"])
+
+    rows = logs.mapInArrow(fold, "k int, n long, j double, s double, q double").groupBy("k").agg(
+        *[F.sum(c).alias(c) for c in ("n", "j", "s", "q")]).collect()
+    scores = {}
+    for r in sorted(rows, key=lambda r: r["k"]):
+        n, lam = r["n"], grid[r["k"]]
+        v = r["q"] / n - (r["s"] / n) ** 2
+        scores[lam] = -math.inf if v <= 0.0 else n * (-0.5 * math.log(v) + (lam - 1.0) * r["j"] / n)
+    return max(scores, key=scores.get), scores
 
 
 def fit_box_cox(df: DataFrame, col: str, grid: list[float] | None = None) -> tuple[float, dict]:
     """Power with the largest profile likelihood of an intercept-only model."""
     x = F.col(col).cast("double")
-    return _best_power(df.where(x > 0), x, box_cox, F.avg(F.ln(x)), grid or power_grid())
+    return _best_power(df.where(x > 0).select(F.ln(x).alias("v")), _np_box_cox, grid or power_grid())
 
 
 def fit_yeo_johnson(df: DataFrame, col: str, grid: list[float] | None = None) -> tuple[float, dict]:
     x = F.col(col).cast("double")
-    jacobian = F.avg(F.signum(x) * F.log1p(F.abs(x)))
-    return _best_power(df.where(x.isNotNull()), x, yeo_johnson, jacobian, grid or power_grid())
+    logs = df.where(x.isNotNull()).select((F.signum(x) * F.log1p(F.abs(x))).alias("v"))
+    return _best_power(logs, _np_yeo_johnson, grid or power_grid())
 
 
 # ── bins ─────────────────────────────────────────────────────────────────────

@@ -15,7 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.session import State
+from tallyframe.session import State, materialize
 
 ACCURACY = 10_000
 MARGIN = 2.5 / ACCURACY
@@ -203,8 +203,8 @@ def quantiles(df: DataFrame, cols, probs) -> dict[str, list[float | None]]:
 
 
 def grouped_quantiles(df: DataFrame, by: list[str], col: str, probs: list[float],
-                      names: list[str]) -> DataFrame:
-    """Exact type-7 quantiles per group as one row per group.
+                      names: list[str], count: str | None = None) -> DataFrame:
+    """Exact type-7 quantiles per group as one row per group; ``count`` adds known rows.
 
     Groups may be of any size: rows are counted by bracket where they lie, and only
     the distinct values inside one bracket of one group are ranked together.
@@ -229,8 +229,9 @@ def grouped_quantiles(df: DataFrame, by: list[str], col: str, probs: list[float]
         lo, hi = F.col(f"__e{2 * j}"), F.col(f"__e{2 * j + 1}")
         passed = passed + (x >= lo).cast("int") + (x > hi).cast("int")
         inside = inside | x.between(lo, hi)
-    counted = joined.groupBy(*by, passed.alias("__s"), F.when(inside, x).alias("__v")).agg(
-        F.count("*").alias("__c"), F.max("__n").alias("__n"))
+    # A small table used twice below; written, so the rows are counted once.
+    counted = materialize(joined.groupBy(*by, passed.alias("__s"), F.when(inside, x).alias("__v")).agg(
+        F.count("*").alias("__c"), F.max("__n").alias("__n")))
     runs = counted.groupBy(*by, "__s").agg(F.sum("__c").alias("__run"))
     before = F.sum("__run").over(Window.partitionBy(*by).orderBy("__s")) - F.col("__run")
     runs = runs.select(*[F.col(b).alias(f"__k_{b}") for b in by], F.col("__s").alias("__rs"), before.alias("__before"))
@@ -242,7 +243,7 @@ def grouped_quantiles(df: DataFrame, by: list[str], col: str, probs: list[float]
     def at(rank):
         return F.max(F.when((F.col("__end") - F.col("__c") <= rank) & (rank < F.col("__end")), F.col("__v")))
 
-    out = []
+    out = [F.max("__n").alias(count)] if count else []
     for p, nm in zip(probs, names):
         h = (F.col("__n") - 1) * float(p)
         lo = F.floor(h + 1e-9)

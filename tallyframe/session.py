@@ -19,10 +19,10 @@ _local_root: dict[str, str] = {}
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates, as named by the cluster."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root:
         return root
-    sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
     return _local_root.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="tallyframe-"))
