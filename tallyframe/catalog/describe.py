@@ -243,9 +243,26 @@ def _(t):
     return out.withColumns({f"{c}_median": F.lit(q[c][0]) for c in ACROSS})
 
 
-@query("profile_skim", None)
+def _hist_text_sql(c):
+    return f"""(WITH l AS (SELECT min({c})::DOUBLE AS lo, (max({c}) - min({c}))::DOUBLE / 8 AS w FROM orders),
+ h AS (SELECT least(floor(({c} - lo) / w), 7)::BIGINT AS bin, count(*) AS n FROM orders, l GROUP BY 1)
+ SELECT string_agg(substring('▁▂▃▄▅▆▇█', 1 + least(7, floor(8.0::DOUBLE * coalesce(n, 0) / (SELECT max(n) FROM h)))::INT, 1), '' ORDER BY b)
+ FROM range(8) r(b) LEFT JOIN h ON bin = b)"""
+
+
+_SKIM_ORDERS = " UNION ALL ".join([f"""SELECT 'numeric' AS type, '{c}' AS variable, count(*) - count({c}) AS n_missing,
+ 1.0::DOUBLE AS complete_rate, round(avg({c}), 5) AS mean, round(stddev_samp({c}), 5) AS sd, min({c})::DOUBLE AS p0,
+ round(quantile_cont({c}::DOUBLE, 0.25), 5) AS p25, round(quantile_cont({c}::DOUBLE, 0.5), 5) AS p50,
+ round(quantile_cont({c}::DOUBLE, 0.75), 5) AS p75, max({c})::DOUBLE AS p100, {_hist_text_sql(c)} AS hist,
+ NULL::BIGINT AS n_unique, NULL::VARCHAR AS top_counts FROM orders""" for c in ("o_totalprice", "o_custkey")] + [
+    f"""SELECT 'character', '{c}', 0, 1.0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(DISTINCT {c}),
+ (SELECT string_agg(left({c}, 3) || ': ' || n, ', ' ORDER BY n DESC, {c}) FROM
+ (SELECT {c}, count(*) AS n FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 4)) FROM orders""" for c in ("o_orderstatus", "o_orderpriority")])
+
+
+@query("profile_skim", _SKIM_ORDERS)
 def _(t):
-    return rnd(d.skim(t.orders.select("o_totalprice", "o_custkey", "o_orderstatus", "o_orderpriority")))
+    return rnd(d.skim(t.orders.select("o_totalprice", "o_custkey", "o_orderstatus", "o_orderpriority")), 5)
 
 
 _SKIM_PART = " UNION ALL ".join(f"""SELECT 'numeric' AS type, '{c}' AS variable, count(*) FILTER ({c} IS NULL) AS n_missing,
