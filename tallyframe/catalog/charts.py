@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.catalog.describe import skew_sql
 from tallyframe.catalog.models import AUG, XS, full_fit
-from tallyframe.catalog.registry import REG, SHIP, query, reg, rnd, ship
+from tallyframe.catalog.registry import REG, SHIP, query, reg, rnd, rnd_rows, ship
 from tallyframe.catalog.sqlkit import f_tail, t_tail
 from tallyframe.functions import scalars as S
 from tallyframe.operators import associate as assoc
@@ -166,28 +166,28 @@ def _(t):
     return rnd(ch.qq_points(df.select((f.y - f.prediction()).alias("resid")), "resid"))
 
 
-@query("residual_by_predictor", f"WITH {AUG} SELECT round(resid, 6) AS residual, predictor, value FROM (SELECT resid, price, disc, tax FROM aug) UNPIVOT (value FOR predictor IN (price, disc, tax))")
+@query("residual_by_predictor", f"WITH {AUG} SELECT round(resid, 5) AS residual, predictor, round(value, 5) AS value FROM (SELECT resid, price, disc, tax FROM aug) UNPIVOT (value FOR predictor IN (price, disc, tax))")
 def _(t):
     df = reg(t)
     f = full_fit(df)
     long = df.select((f.y - f.prediction()).alias("residual"), *XS).unpivot(["residual"], XS, "predictor", "value")
-    return long.select(F.round("residual", 6).alias("residual"), "predictor", "value")
+    return rnd_rows(long)
 
 
-@query("actual_vs_predicted", f"WITH {AUG} SELECT round(charge, 6) AS actual, round(fitted, 6) AS predicted, round(resid, 6) AS residual FROM aug")
+@query("actual_vs_predicted", f"WITH {AUG} SELECT round(charge, 5) AS actual, round(fitted, 5) AS predicted, round(resid, 5) AS residual FROM aug")
 def _(t):
     df = reg(t)
-    return rnd(full_fit(df).predict(df, "predicted").select(
+    return rnd_rows(full_fit(df).predict(df, "predicted").select(
         F.col("charge").alias("actual"), "predicted", (F.col("charge") - F.col("predicted")).alias("residual")))
 
 
 @query("sorted_actual_predicted", f"""WITH {AUG} SELECT row_number() OVER (ORDER BY charge, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS obs,
- round(charge, 6) AS actual, round(fitted, 6) AS predicted FROM aug""")
+ round(charge, 5) AS actual, round(fitted, 5) AS predicted FROM aug""")
 def _(t):
     df = reg(t)
     out = full_fit(df).predict(df, "predicted").select("charge", "predicted", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     numbered = row_numbers(out, ["charge", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
-    return rnd(numbered.select("obs", F.col("charge").alias("actual"), "predicted"))
+    return rnd_rows(numbered.select("obs", F.col("charge").alias("actual"), "predicted"))
 
 
 _PAIR = ["charge", "price", "qty"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.catalog.registry import LINE_KEY, REG, TRAIN_SQL, query, reg, rnd
+from tallyframe.catalog.registry import LINE_KEY, REG, TRAIN_SQL, query, reg, rnd, rnd_rows
 from tallyframe.catalog.sqlkit import f_tail, hat, intercept_var, pred, sweep, t_crit, t_tail
 from tallyframe.operators.chartdata import column_range
 from tallyframe.plans import evaluate as ev
@@ -96,12 +96,12 @@ def _(t):
 
 
 @query("ols_transformed", f"""WITH {REG}, {sweep('f', 'reg', ['ln(price)', 'disc', 'tax'], 'ln(charge)')}
-SELECT l_orderkey, l_linenumber, l_partkey, round(exp({pred(['ln(price)', 'disc', 'tax'])}), 6) AS fitted FROM reg, f""")
+SELECT l_orderkey, l_linenumber, l_partkey, round(exp({pred(['ln(price)', 'disc', 'tax'])}), 5) AS fitted FROM reg, f""")
 def _(t):
     df = reg(t)
     terms = {"log(price)": F.ln("price"), **ols.numeric("disc", "tax")}
     f = ols.fit(df, F.ln("charge"), terms)
-    return rnd(df.select("l_orderkey", "l_linenumber", "l_partkey", F.exp(f.prediction()).alias("fitted")))
+    return rnd_rows(df.select("l_orderkey", "l_linenumber", "l_partkey", F.exp(f.prediction()).alias("fitted")))
 
 
 # ── tables of a fit ──────────────────────────────────────────────────────────
@@ -168,12 +168,12 @@ def _(t):
     return out.select("section", "item", (F.signum("value") * F.floor(F.abs("value") * m + 0.5) / m).alias("value"))
 
 
-@query("ols_parts", f"""WITH {REG}, {FULL} SELECT l_orderkey, l_linenumber, l_partkey, round({pred(XS)}, 6) AS fitted, round(charge - {pred(XS)}, 6) AS residual,
- round(sqrt(f.rss / (f.n - 4)), 6) AS sigma FROM reg, f""")
+@query("ols_parts", f"""WITH {REG}, {FULL} SELECT l_orderkey, l_linenumber, l_partkey, round({pred(XS)}, 5) AS fitted, round(charge - {pred(XS)}, 5) AS residual,
+ round(sqrt(f.rss / (f.n - 4)), 5) AS sigma FROM reg, f""")
 def _(t):
     df = reg(t)
     f = full_fit(df)
-    return rnd(df.select("l_orderkey", "l_linenumber", "l_partkey", f.prediction().alias("fitted"),
+    return rnd_rows(df.select("l_orderkey", "l_linenumber", "l_partkey", f.prediction().alias("fitted"),
                          (f.y - f.prediction()).alias("residual"), F.lit(f.sigma).alias("sigma")))
 
 
@@ -252,25 +252,25 @@ TRAIN = f"train AS (SELECT * FROM reg WHERE {TRAIN_SQL} < 8), test AS (SELECT *
 TRAINED = f"{REG}, {TRAIN}, {sweep('f', 'train', XS, 'charge')}"
 
 
-@query("predict", f"WITH {TRAINED} SELECT l_orderkey, l_linenumber, l_partkey, round({pred(XS)}, 6) AS fit FROM test, f")
+@query("predict", f"WITH {TRAINED} SELECT l_orderkey, l_linenumber, l_partkey, round({pred(XS)}, 5) AS fit FROM test, f")
 def _(t):
     train, test = train_test(t)
-    return rnd(full_fit(train).predict(test).select("l_orderkey", "l_linenumber", "l_partkey", "fit"))
+    return rnd_rows(full_fit(train).predict(test).select("l_orderkey", "l_linenumber", "l_partkey", "fit"))
 
 
 def half_sql(extra, xs=XS, p=3):
     return f"({t_crit(f'(f.n - {p + 1})')} * sqrt(f.rss / (f.n - {p + 1})) * sqrt({extra} + {hat(xs)}))"
 
 
-@query("predict_interval", f"""WITH {TRAINED} SELECT l_orderkey, l_linenumber, l_partkey, round({pred(XS)}, 6) AS fit,
- round({pred(XS)} - {half_sql(0)}, 6) AS ci_lwr, round({pred(XS)} + {half_sql(0)}, 6) AS ci_upr,
- round({pred(XS)} - {half_sql(1)}, 6) AS pi_lwr, round({pred(XS)} + {half_sql(1)}, 6) AS pi_upr FROM test, f""")
+@query("predict_interval", f"""WITH {TRAINED} SELECT l_orderkey, l_linenumber, l_partkey, round({pred(XS)}, 5) AS fit,
+ round({pred(XS)} - {half_sql(0)}, 5) AS ci_lwr, round({pred(XS)} + {half_sql(0)}, 5) AS ci_upr,
+ round({pred(XS)} - {half_sql(1)}, 5) AS pi_lwr, round({pred(XS)} + {half_sql(1)}, 5) AS pi_upr FROM test, f""")
 def _(t):
     train, test = train_test(t)
     f = full_fit(train)
     out = f.predict_interval(test, "confidence", names=("fit", "ci_lwr", "ci_upr"))
     out = f.predict_interval(out, "prediction", names=("fit", "pi_lwr", "pi_upr"))
-    return rnd(out.select("l_orderkey", "l_linenumber", "l_partkey", "fit", "ci_lwr", "ci_upr", "pi_lwr", "pi_upr"))
+    return rnd_rows(out.select("l_orderkey", "l_linenumber", "l_partkey", "fit", "ci_lwr", "ci_upr", "pi_lwr", "pi_upr"))
 
 
 @query("interval_grid", f"""WITH {REG}, {FULL}, grid AS (SELECT i AS step, lo + i * (hi - lo) / 80 AS price, 5.0::DOUBLE AS disc, 4.0::DOUBLE AS tax
@@ -296,12 +296,12 @@ AUG = f"""{REG}, {FULL}, aug AS (SELECT reg.*, {pred(XS)} AS fitted, {_E} AS res
  pow({_E}, 2) * {hat(XS)} / (4 * (f.rss / (f.n - 4)) * pow(1 - {hat(XS)}, 2)) AS cooksd, f.n AS n, f.rss AS rss FROM reg, f)"""
 
 
-@query("augment", f"""WITH {AUG} SELECT l_orderkey, l_linenumber, l_partkey, round(fitted, 6) AS fitted, round(resid, 6) AS resid, round(hat, 7) AS hat,
- round(std_resid, 6) AS std_resid, round(cooksd, 7) AS cooksd FROM aug""")
+@query("augment", f"""WITH {AUG} SELECT l_orderkey, l_linenumber, l_partkey, round(fitted, 5) AS fitted, round(resid, 5) AS resid, round(hat, 7) AS hat,
+ round(std_resid, 5) AS std_resid, round(cooksd, 7) AS cooksd FROM aug""")
 def _(t):
     df = reg(t)
     out = full_fit(df).augment(df)
-    return rnd(out.select("l_orderkey", "l_linenumber", "l_partkey", "fitted", "resid", "hat", "std_resid", "cooksd"), 6, hat=7, cooksd=7)
+    return rnd(out.select("l_orderkey", "l_linenumber", "l_partkey", "fitted", "resid", "hat", "std_resid", "cooksd"), 5, hat=7, cooksd=7)
 
 
 @query("influence_flags", f"""WITH {AUG} SELECT l_orderkey, l_linenumber, l_partkey, round(hat, 7) AS hat, round(cooksd, 7) AS cooksd,
@@ -365,10 +365,10 @@ def _(t):
     return rnd(t.spark.createDataFrame([(bp["statistic"], bp["df"])], "statistic double, df int"), 4)
 
 
-@query("scale_location", f"WITH {AUG} SELECT round(fitted, 6) AS fitted, round(sqrt(abs(std_resid)), 6) AS root_std_resid FROM aug")
+@query("scale_location", f"WITH {AUG} SELECT round(fitted, 5) AS fitted, round(sqrt(abs(std_resid)), 5) AS root_std_resid FROM aug")
 def _(t):
     df = reg(t)
-    return rnd(full_fit(df).augment(df).select("fitted", F.sqrt(F.abs("std_resid")).alias("root_std_resid")))
+    return rnd_rows(full_fit(df).augment(df).select("fitted", F.sqrt(F.abs("std_resid")).alias("root_std_resid")))
 
 
 @query("vif", f"WITH {REG}, reg2 AS (SELECT *, price + disc AS mix FROM reg), " + ", ".join(

@@ -43,6 +43,11 @@ def rnd(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
     ])
 
 
+def rnd_rows(df: DataFrame) -> DataFrame:
+    """Fewer digits for per-row model values, where one fit meets very many rows."""
+    return rnd(df, 5)
+
+
 # ── base frames ──────────────────────────────────────────────────────────────
 # Shipment lines with a signed number that is sometimes unknown: days from
 # mid-month (8 % NULL) and a second one NULL for another 5 %.
