@@ -401,3 +401,17 @@ def _(t):
 def _(t):
     long = assoc.correlation_long(t.spark, assoc.correlation(reg(t), CORR))
     return long.select("row", "col", assoc.strength(F.col("r")).alias("strength"))
+
+
+# Four columns and their ten products: wide enough for the block product.
+_BASE4 = ["price", "disc", "tax", "qty"]
+_PRODUCTS = {f"{a}_{b}": (a, b) for i, a in enumerate(_BASE4) for b in _BASE4[i:]}
+
+
+@query("corr_matrix_wide", f"WITH {REG}, wide AS (SELECT price, disc, tax, qty, "
+       + ", ".join(f"{a} * {b} AS {nm}" for nm, (a, b) in _PRODUCTS.items()) + " FROM reg) "
+       + " UNION ALL ".join(f"SELECT '{a}' AS row, '{b}' AS col, round(corr({a}, {b}), 6) AS r FROM wide"
+                            for a in [*_BASE4, *_PRODUCTS] for b in [*_BASE4, *_PRODUCTS]))
+def _(t):
+    df = reg(t).withColumns({nm: F.col(a) * F.col(b) for nm, (a, b) in _PRODUCTS.items()})
+    return rnd(assoc.correlation_long(t.spark, assoc.correlation(df, [*_BASE4, *_PRODUCTS])))
