@@ -166,7 +166,7 @@ def _(t):
     return rnd(ch.qq_points(df.select((f.y - f.prediction()).alias("resid")), "resid"))
 
 
-@query("residual_by_predictor", f"WITH {AUG} SELECT round(resid, 5) AS residual, predictor, round(value, 5) AS value FROM (SELECT resid, price, disc, tax FROM aug) UNPIVOT (value FOR predictor IN (price, disc, tax))")
+@query("residual_by_predictor", f"WITH {AUG} SELECT round(resid, 5) + 0.0 AS residual, predictor, round(value, 5) AS value FROM (SELECT resid, price, disc, tax FROM aug) UNPIVOT (value FOR predictor IN (price, disc, tax))")
 def _(t):
     df = reg(t)
     f = full_fit(df)
@@ -174,7 +174,7 @@ def _(t):
     return rnd_rows(long)
 
 
-@query("actual_vs_predicted", f"WITH {AUG} SELECT round(charge, 5) AS actual, round(fitted, 5) AS predicted, round(resid, 5) AS residual FROM aug")
+@query("actual_vs_predicted", f"WITH {AUG} SELECT round(charge, 5) AS actual, round(fitted, 5) AS predicted, round(resid, 5) + 0.0 AS residual FROM aug")
 def _(t):
     df = reg(t)
     return rnd_rows(full_fit(df).predict(df, "predicted").select(

@@ -168,7 +168,7 @@ def _(t):
     return out.select("section", "item", (F.signum("value") * F.floor(F.abs("value") * m + 0.5) / m).alias("value"))
 
 
-@query("ols_parts", f"""WITH {REG}, {FULL} SELECT l_orderkey, l_linenumber, l_partkey, round({pred(XS)}, 5) AS fitted, round(charge - {pred(XS)}, 5) AS residual,
+@query("ols_parts", f"""WITH {REG}, {FULL} SELECT l_orderkey, l_linenumber, l_partkey, round({pred(XS)}, 5) AS fitted, round(charge - {pred(XS)}, 5) + 0.0 AS residual,
  round(sqrt(f.rss / (f.n - 4)), 5) AS sigma FROM reg, f""")
 def _(t):
     df = reg(t)
@@ -296,12 +296,12 @@ AUG = f"""{REG}, {FULL}, aug AS (SELECT reg.*, {pred(XS)} AS fitted, {_E} AS res
  pow({_E}, 2) * {hat(XS)} / (4 * (f.rss / (f.n - 4)) * pow(1 - {hat(XS)}, 2)) AS cooksd, f.n AS n, f.rss AS rss FROM reg, f)"""
 
 
-@query("augment", f"""WITH {AUG} SELECT l_orderkey, l_linenumber, l_partkey, round(fitted, 5) AS fitted, round(resid, 5) AS resid, round(hat, 7) AS hat,
- round(std_resid, 5) AS std_resid, round(cooksd, 7) AS cooksd FROM aug""")
+@query("augment", f"""WITH {AUG} SELECT l_orderkey, l_linenumber, l_partkey, round(fitted, 5) AS fitted, round(resid, 5) + 0.0 AS resid, round(hat, 7) AS hat,
+ round(std_resid, 4) + 0.0 AS std_resid, round(cooksd, 7) AS cooksd FROM aug""")
 def _(t):
     df = reg(t)
     out = full_fit(df).augment(df)
-    return rnd(out.select("l_orderkey", "l_linenumber", "l_partkey", "fitted", "resid", "hat", "std_resid", "cooksd"), 5, hat=7, cooksd=7)
+    return rnd(out.select("l_orderkey", "l_linenumber", "l_partkey", "fitted", "resid", "hat", "std_resid", "cooksd"), 5, std_resid=4, hat=7, cooksd=7)
 
 
 @query("influence_flags", f"""WITH {AUG} SELECT l_orderkey, l_linenumber, l_partkey, round(hat, 7) AS hat, round(cooksd, 7) AS cooksd,
