@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import rules
+from tallyframe.llm import rules, sitequality
+from tallyframe.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,7 +31,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query("op1_quality_rules", r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 m AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
-  list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
 g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM m WHERE len(w) > 2)),
 twice AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, gram) > 1),
@@ -52,3 +53,11 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     book = rules.apply_policy(rules.apply_policy(book, rules.BASE, name="base_kept"), rules.V1)
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        (~F.col("base_kept")).alias("base_failed"), "kept", "n_lines", "n_upper", "fail_bits")
+
+
+@query("op10_site_quality")
+def op10_site_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    feats = materialize(sitequality.features(docs))
+    model = sitequality.fit(feats, table(spark, folder, "labels"))
+    return sitequality.classify(docs, model, ["source", "lang"], feats=feats)
