@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import rules, sitequality
+from tallyframe.llm import packing, rules, sitequality
 from tallyframe.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,13 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -61,3 +68,8 @@ def op10_site_quality(spark: SparkSession, folder: str) -> DataFrame:
     feats = materialize(sitequality.features(docs))
     model = sitequality.fit(feats, table(spark, folder, "labels"))
     return sitequality.classify(docs, model, ["source", "lang"], feats=feats)
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
