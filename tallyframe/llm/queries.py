@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import packing, rules, sitequality
+from tallyframe.llm import packing, rules, sitequality, suffix
 from tallyframe.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,10 @@ def op10_site_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_packing")
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = suffix.remove(docs, 400, keep="none", whole_chars=False)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
