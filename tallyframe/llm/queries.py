@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import packing, rules, sitequality, suffix
+from tallyframe.llm import dartminhash, packing, rules, sitequality, suffix
 from tallyframe.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,23 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     out = suffix.remove(docs, 400, keep="none", whole_chars=False)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op5_near_duplicates", r"""
+WITH RECURSIVE t AS (SELECT text, min(doc_id) AS node FROM documents WHERE text IS NOT NULL GROUP BY text),
+w AS (SELECT node, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM t),
+i AS (SELECT node, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0),
+c AS (SELECT node, array_to_string(w[i:i + 4], ' ') AS s, count(*) AS k FROM i GROUP BY ALL),
+n AS (SELECT node, sum(k) AS n FROM c GROUP BY node),
+p AS (SELECT a.node AS x, b.node AS y, sum(least(a.k, b.k)) AS m FROM c a JOIN c b ON a.s = b.s AND a.node < b.node
+  GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.node = x JOIN n ny ON ny.node = y WHERE 10 * m >= 8 * (nx.n + ny.n - m)),
+b AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r(node, label) AS (SELECT node, node FROM t UNION SELECT b.y, r.label FROM r JOIN b ON b.x = r.node),
+l AS (SELECT node, min(label) AS label FROM r GROUP BY node),
+d AS (SELECT doc_id, coalesce(label, doc_id) AS class_id, label IS NULL AS alone FROM documents
+  LEFT JOIN t USING (text) LEFT JOIN l USING (node))
+SELECT doc_id, class_id, CASE WHEN alone THEN 1 ELSE count(*) OVER (PARTITION BY class_id, alone) END::BIGINT AS class_size
+FROM d""")
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return dartminhash.near_duplicates(table(spark, folder, "documents"))
