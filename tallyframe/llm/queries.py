@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import dartminhash, packing, rules, sitequality, suffix
+from tallyframe.llm import annpartition, dartminhash, langid, packing, rules, sitequality, suffix
 from tallyframe.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,15 @@ SELECT doc_id, class_id, CASE WHEN alone THEN 1 ELSE count(*) OVER (PARTITION BY
 FROM d""")
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return dartminhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op9_learned_partitions")
+def op9_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return annpartition.nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return langid.predict(docs, langid.fit(docs))
