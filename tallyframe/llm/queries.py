@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import annpartition, dartminhash, langid, packing, rules, sitequality, suffix
+from tallyframe.llm import annpartition, dartminhash, langid, packing, pieces, rules, sitequality, suffix
 from tallyframe.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,13 @@ def op9_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     return langid.predict(docs, langid.fit(docs))
+
+
+@query("op4_pieces")
+def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = tokenizer("piece_bpe_32k.model")
+    coded = pieces.decode(pieces.encode(table(spark, folder, "documents"), model), model)
+    same = F.coalesce(F.col("decoded") == F.translate("text", pieces.MARK, " "), F.col("text").isNull())
+    out = coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.size("viterbi_ids").cast("long").alias("n_viterbi"),
+                       "viterbi_ids", F.col("viterbi_score").cast("long").alias("viterbi_score"), same.alias("round_trip"))
+    return pieces.digest(out, {"ids": "ids_crc32", "viterbi_ids": "viterbi_crc32"})
