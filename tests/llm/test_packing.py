@@ -55,7 +55,7 @@ def test_round_trip_on_documents(spark):
 
 def test_edges(spark, monkeypatch):
     monkeypatch.setattr(packing, "KNOWN_WORDS", 50)
-    odd = "I'LL go  Straße ΣΑΣ é é <|endoftext|>x <|startoftext|> \x0b\x0c\r\n 日本語 don't 12 #!"
+    odd = "I'LL go, İ! (a)! ok!! Ünï.. ÉCOLE, <|ENDOFTEXT|>. x<|endoftext|>. i̇. E\u0301! 3.14, a\u0301. don't! Straße. ΣΑΣ é é <|endoftext|>x <|startoftext|> \x0b\x0c\r\n 日本語 don't 12 #!"
     texts = [(1, None), (2, ""), (3, " \n\t "), (4, odd), (5, "word " * 30000), (None, "none"), (7, "twice"), (7, "twice"),
              *[(100 + i, "some words " * (i * 7)) for i in range(40)]]
     df = spark.createDataFrame([(k, t, "x") for k, t in texts], "doc_id long, text string, start string").repartition(2)
