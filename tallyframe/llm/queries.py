@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import annpartition, dartminhash, langid, packing, pieces, rules, sitequality, suffix
+from tallyframe.llm import annpartition, dartminhash, langid, packing, pieces, quotes, rules, sitequality, suffix
 from tallyframe.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,34 @@ def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
     out = coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.size("viterbi_ids").cast("long").alias("n_viterbi"),
                        "viterbi_ids", F.col("viterbi_score").cast("long").alias("viterbi_score"), same.alias("round_trip"))
     return pieces.digest(out, {"ids": "ids_crc32", "viterbi_ids": "viterbi_crc32"})
+
+
+@query("op2_quotation_links", r"""
+WITH RECURSIVE l0 AS (SELECT conv_id, turn, role, text, string_split(text, chr(10)) AS l FROM conversations),
+m AS (SELECT *, list_filter(l, lambda x: regexp_matches(x, '^(?:[ \t]*>)+')) AS q FROM l0),
+line0 AS (SELECT conv_id, turn, md5(text) AS k, i, l[i] AS line FROM (SELECT *, unnest(range(1, len(l) + 1)) AS i FROM m)),
+line AS (SELECT conv_id, turn, k, i, length(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)+'), '[^>]', '', 'g')) AS level,
+  trim(lower(regexp_replace(regexp_replace(line, '^(?:[ \t]*>)+', ''), '\s+', ' ', 'g'))) AS body FROM line0),
+runs AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn, k ORDER BY i)
+  - row_number() OVER (PARTITION BY conv_id, turn, k, CASE WHEN body = '' THEN -1 ELSE level END ORDER BY i) AS run FROM line),
+unit AS (SELECT conv_id, turn, level, md5(body) AS h, 1 AS weight FROM runs WHERE body <> '' UNION ALL
+  SELECT conv_id, turn, level, md5(string_agg(body, ' ' ORDER BY i)), count(*) FROM runs WHERE body <> ''
+  GROUP BY conv_id, turn, k, level, run HAVING count(*) > 1),
+source AS (SELECT conv_id, h, min(turn) AS source FROM unit WHERE level = 0 GROUP BY conv_id, h),
+vote AS (SELECT u.conv_id, u.turn, level, source, sum(weight) AS votes FROM unit u JOIN source s
+  ON u.conv_id = s.conv_id AND u.h = s.h AND source < u.turn WHERE level > 0 GROUP BY ALL),
+parent AS (SELECT conv_id, turn, source AS parent FROM vote
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, votes DESC, source) = 1),
+walk AS (SELECT conv_id, turn, parent AS root, 1 AS depth FROM parent UNION ALL
+  SELECT w.conv_id, w.turn, p.parent, depth + 1 FROM walk w JOIN parent p ON w.conv_id = p.conv_id AND w.root = p.turn),
+top AS (SELECT conv_id, turn, arg_max(root, depth) AS root, max(depth) AS depth FROM walk GROUP BY conv_id, turn)
+SELECT m.conv_id, m.turn, m.role, coalesce(list_max(list_transform(q, lambda x:
+  length(regexp_replace(regexp_extract(x, '^(?:[ \t]*>)+'), '[^>]', '', 'g')))), 0)::INTEGER AS quote_levels, len(q)::INTEGER AS quoted_lines,
+  CASE WHEN len(q) > 0 THEN trim(array_to_string(list_filter(l, lambda x: NOT regexp_matches(x, '^(?:[ \t]*>)+')
+  AND NOT regexp_matches(x, '^On .{1,200} wrote:[ \t\r]*$')), chr(10)), ' ') ELSE text END AS own_text, p.parent AS parent_turn,
+  coalesce(t.root, m.turn) AS root_turn, coalesce(t.depth, 0)::BIGINT AS depth,
+  row_number() OVER (PARTITION BY m.conv_id ORDER BY coalesce(t.root, m.turn), m.turn)::BIGINT AS position
+FROM m LEFT JOIN parent p ON m.conv_id = p.conv_id AND m.turn = p.turn LEFT JOIN top t ON m.conv_id = t.conv_id AND m.turn = t.turn""")
+def op2_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    out = quotes.link(table(spark, folder, "conversations"))
+    return out.select("conv_id", "turn", "role", "quote_levels", "quoted_lines", "own_text", "parent_turn", "root_turn", "depth", "position")
