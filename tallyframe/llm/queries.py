@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import annpartition, dartminhash, langid, packing, pieces, quotes, rules, sitequality, suffix
+from tallyframe.llm import annpartition, chains, dartminhash, langid, packing, pieces, quotes, rules, sitequality, suffix
 from tallyframe.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,8 @@ FROM m LEFT JOIN parent p ON m.conv_id = p.conv_id AND m.turn = p.turn LEFT JOIN
 def op2_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
     out = quotes.link(table(spark, folder, "conversations"))
     return out.select("conv_id", "turn", "role", "quote_levels", "quoted_lines", "own_text", "parent_turn", "root_turn", "depth", "position")
+
+
+@query("op7_fuzzy_passages")
+def op7_fuzzy_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return chains.mark(table(spark, folder, "documents"))
