@@ -15,6 +15,7 @@ from tallyframe.operators import associate as assoc
 from tallyframe.operators import chartdata as ch
 from tallyframe.operators import describe as d
 from tallyframe.operators.ordering import row_numbers
+from tallyframe.session import State
 
 
 def _hist_sql(src, x, bins):
@@ -101,7 +102,7 @@ def _(t):
 def _(t):
     cells = d.value_counts(t.part, ["p_type", "p_brand"])
     bars = cells.groupBy("p_type").agg(F.sum("n").alias("total"))
-    return rnd(cells.join(bars, "p_type").select("p_type", "p_brand", (F.col("n") / F.col("total")).alias("share")), 8)
+    return rnd(State(bars, ["p_type"]).attach(cells).select("p_type", "p_brand", (F.col("n") / F.col("total")).alias("share")), 8)
 
 
 @query("col_means", "SELECT p_type, round(avg(p_retailprice), 6) AS mean_price FROM part GROUP BY 1")

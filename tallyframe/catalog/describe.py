@@ -10,6 +10,7 @@ from tallyframe.operators import describe as d
 from tallyframe.operators import frame as fr
 from tallyframe.operators.features import fit_zscore
 from tallyframe.operators.quantiles import grouped_quantiles, median, quantiles, trimmed_mean
+from tallyframe.session import State
 
 
 def one_row(t, **values):
@@ -203,7 +204,7 @@ STATUSES = ["F", "O", "P"]
 @query("crosstab", """SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS F, count(*) FILTER (o_orderstatus = 'O') AS O,
  count(*) FILTER (o_orderstatus = 'P') AS P FROM orders GROUP BY 1""")
 def _(t):
-    return d.crosstab(t.orders, "o_orderpriority", "o_orderstatus", STATUSES)
+    return d.crosstab(t.orders, "o_orderpriority", "o_orderstatus")
 
 
 @query("tabyl", f"""WITH {PART_NA} SELECT type, count(*) AS n, round(count(*)::DOUBLE / (SELECT count(*) FROM part_na), 8) AS percent,
@@ -296,7 +297,7 @@ def _(t):
         F.count("*").alias("n"), F.avg(x).alias("price_mean"), F.stddev_samp(x).alias("price_sd"),
         d.share_true(x > 950).alias("pct_above"))
     med = grouped_quantiles(t.part, ["p_brand"], "p_retailprice", [0.5], ["price_median"])
-    return rnd(stats.join(med, "p_brand").orderBy(F.desc("price_mean"), "p_brand"))
+    return rnd(State(med, ["p_brand"]).attach(stats).orderBy(F.desc("price_mean"), "p_brand"))
 
 
 # ── missing values ───────────────────────────────────────────────────────────

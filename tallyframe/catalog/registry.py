@@ -30,9 +30,13 @@ def query(name: str, sql: str | None = None):
 
 
 def rounded(c, digits: int):
-    """Half away from zero by scaling, as the SQL side rounds, so ties agree."""
+    """Half away from zero by scaling, as the SQL side rounds, so ties agree.
+
+    Values too large to have that many digits, NaN and infinities stay as they are.
+    """
     c, m = (F.col(c) if isinstance(c, str) else c), float(10**digits)
-    return F.when(c >= 0, F.floor(c * m + 0.5) / m).when(c < 0, F.ceil(c * m - 0.5) / m)
+    near = F.when(c >= 0, F.floor(c * m + 0.5) / m).when(c < 0, F.ceil(c * m - 0.5) / m)
+    return F.when(F.isnan(c) | (F.abs(c) >= 2.0**52 / m), c.cast("double")).otherwise(near)
 
 
 def rnd(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:

@@ -34,10 +34,17 @@ def strength(r: Column) -> Column:
 def correlation_test(df: DataFrame, x: str, y: str, level: float = 0.95) -> dict:
     m = correlation(df, [x, y])
     n, r = int(m.n), float(m.corr()[0, 1])
-    t = r * math.sqrt((n - 2) / (1 - r * r)) if abs(r) < 1 else math.inf
-    z, half = math.atanh(r), dist.normal_quantile(0.5 + level / 2) / math.sqrt(n - 3)
-    return {"estimate": r, "statistic": t, "df": n - 2, "p_value": dist.t_two_sided(t, n - 2),
-            "conf_low": math.tanh(z - half), "conf_high": math.tanh(z + half)}
+    out = {"estimate": r, "statistic": None, "df": n - 2, "p_value": None, "conf_low": None, "conf_high": None}
+    if math.isnan(r) or n < 3:
+        return out
+    if abs(r) >= 1:  # exact line
+        return out | {"statistic": math.copysign(math.inf, r), "p_value": 0.0, "conf_low": r, "conf_high": r}
+    t = r * math.sqrt((n - 2) / (1 - r * r))
+    out |= {"statistic": t, "p_value": dist.t_two_sided(t, n - 2)}
+    if n > 3:
+        z, half = math.atanh(r), dist.normal_quantile(0.5 + level / 2) / math.sqrt(n - 3)
+        out |= {"conf_low": math.tanh(z - half), "conf_high": math.tanh(z + half)}
+    return out
 
 
 def anova_oneway(df: DataFrame, y: str, g: str) -> DataFrame:
@@ -53,12 +60,19 @@ def anova_oneway(df: DataFrame, y: str, g: str) -> DataFrame:
         F.count("*").alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("v")).alias("ssw"),
         F.sum(F.col("n") * F.col("m")).alias("sm"),
     ).first()
-    k, n, ssw = row["k"], row["n"], row["ssw"]
-    grand = row["sm"] / n
-    ssb = groups.agg(F.sum(F.col("n") * (F.col("m") - grand) * (F.col("m") - grand))).first()[0]
-    f = (ssb / (k - 1)) / (ssw / (n - k))
-    rows = [(g, k - 1, ssb, ssb / (k - 1), f, dist.f_upper(f, k - 1, n - k)),
-            ("Residuals", n - k, ssw, ssw / (n - k), None, None)]
+    k, n, ssw = row["k"], row["n"] or 0, row["ssw"] or 0.0
+    grand = (row["sm"] or 0.0) / max(n, 1)
+    ssb = groups.agg(F.sum(F.col("n") * (F.col("m") - grand) * (F.col("m") - grand))).first()[0] or 0.0
+    between = ssb / (k - 1) if k > 1 else math.nan
+    within = ssw / (n - k) if n > k else math.nan
+    if math.isnan(between) or math.isnan(within) or within == 0 and between == 0:
+        f = p = math.nan
+    elif within == 0:
+        f, p = math.inf, 0.0
+    else:
+        f = between / within
+        p = dist.f_upper(f, k - 1, n - k)
+    rows = [(g, max(k - 1, 0), ssb, between, f, p), ("Residuals", n - k, ssw, within, None, None)]
     return df.sparkSession.createDataFrame(
         rows, "term string, df long, sum_sq double, mean_sq double, statistic double, p_value double")
 

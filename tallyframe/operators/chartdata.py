@@ -21,6 +21,8 @@ def column_range(df: DataFrame, col: str) -> tuple[float, float]:
 def histogram(df: DataFrame, col: str, bins: int, bounds: tuple[float, float] | None = None) -> DataFrame:
     """bin, left edge, right edge, count, density; the last bin is closed."""
     lo, hi = bounds or column_range(df, col)
+    if lo is None:  # nothing known: no bins
+        lo, hi = 0.0, 0.0
     w = (hi - lo) / bins or 1.0
     b = F.least(F.floor((F.col(col) - lo) / w), F.lit(bins - 1))
     counts = df.where(F.col(col).between(lo, hi)).groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
@@ -43,6 +45,8 @@ def bin2d(df: DataFrame, x: str, y: str, bins: int) -> DataFrame:
     def key(c, lo, hi):
         return F.least(F.floor((F.col(c) - lo) / ((hi - lo) / bins or 1.0)), F.lit(bins - 1))
 
+    if row[0] is None or row[2] is None:
+        row = [0.0] * 4
     return df.groupBy(key(x, row[0], row[1]).alias("x_bin"), key(y, row[2], row[3]).alias("y_bin")).agg(
         F.count("*").alias("n"))
 
@@ -54,6 +58,8 @@ def density(df: DataFrame, col: str, by: list[str] = (), points: int = 64, bins:
     groups × bins rows however long the table is.
     """
     lo, hi = column_range(df, col)
+    if lo is None:
+        lo, hi = 0.0, 0.0
     w = (hi - lo) / bins or 1.0
     by = list(by)
     known = df.where(F.col(col).isNotNull())
@@ -66,12 +72,14 @@ def density(df: DataFrame, col: str, by: list[str] = (), points: int = 64, bins:
     else:
         q1, q3 = quantiles(df, [col], [0.25, 0.75])[col]
         stats = stats.withColumn("__q1", F.lit(q1)).withColumn("__q3", F.lit(q3))
-    spread = F.least("__sd", (F.col("__q3") - F.col("__q1")) / 1.34)
+    # without spread in the middle half, or with one row, the usual fallbacks
+    iqr = (F.col("__q3") - F.col("__q1")) / 1.34
+    spread = F.coalesce(*[F.when(x > 0, x) for x in (F.least("__sd", F.when(iqr > 0, iqr)), F.abs("__q1"))], F.lit(1.0))
     stats = stats.withColumn("bw", 0.9 * spread * F.pow(F.col("__n"), F.lit(-0.2)))
     if by:
         wide = State(stats.select(*by, "__n", "bw"), by).attach(cells)
     else:
-        row = stats.first()
+        row = stats.first() or {"__n": 0, "bw": 1.0}
         wide = cells.withColumn("__n", F.lit(row["__n"])).withColumn("bw", F.lit(row["bw"]))
     step = (hi - lo) / (points - 1)
     grid = wide.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
@@ -86,7 +94,7 @@ def box_stats(df: DataFrame, by: list[str], col: str, mult: float = 1.5) -> Data
     x = F.col(col)
     iqr = F.col("q3") - F.col("q1")
     inside = ~outside(x, (F.col("q1") - mult * iqr, F.col("q3") + mult * iqr))
-    return q.attach(df, count_col="__n").where(x.isNotNull()).groupBy(*by).agg(
+    return q.attach(df).where(x.isNotNull()).groupBy(*by).agg(
         F.max("q1").alias("q1"), F.max("median").alias("median"), F.max("q3").alias("q3"),
         F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"),

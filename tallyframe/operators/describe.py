@@ -16,11 +16,11 @@ def share_true(cond: Column) -> Column:
 
 
 def coefficient_of_variation(x: Column) -> Column:
-    return F.stddev_samp(x) / F.avg(x) * 100
+    return F.try_divide(F.stddev_samp(x), F.avg(x)) * 100
 
 
 def weighted_mean(x: Column, w: Column) -> Column:
-    return F.sum(x * w) / F.sum(F.when(x.isNotNull(), w))
+    return F.try_divide(F.sum(x * w), F.sum(F.when(x.isNotNull(), w)))
 
 
 def kurtosis_raw(x: Column) -> Column:
@@ -45,16 +45,29 @@ def mode(df: DataFrame, col: str, by: list[str] = ()) -> DataFrame:
     return counts.groupBy(*by).agg(F.min_by(col, F.struct(-F.col("n"), F.col(col))).alias(f"{col}_mode"))
 
 
-def crosstab(df: DataFrame, row: str, col: str, levels: list) -> DataFrame:
-    """Two-way counts, rows with NULL in either column dropped."""
+def crosstab(df: DataFrame, row: str, col: str, levels: list | None = None, other: str | None = None) -> DataFrame:
+    """Two-way counts, rows with NULL in either column dropped.
+
+    Without ``levels`` every level found gets a column.  With them, ``other`` names a
+    column for the rows of all other levels, so that no row is lost from the totals.
+    """
+    from tallyframe.operators.features import fit_levels  # which imports this module
+
     kept = df.dropna(subset=[row, col])
-    return kept.groupBy(row).pivot(col, levels).agg(F.count(row)).na.fill(0, [str(v) for v in levels])
+    levels = fit_levels(kept, col) if levels is None else list(levels)
+    names = [str(v) for v in levels]
+    value = F.col(col).cast("string")
+    if other is not None:
+        value = F.when(value.isin(names), value).otherwise(other)
+        names = [*names, other]
+    cells = kept.select(row, value.alias("__level"))
+    return cells.groupBy(row).pivot("__level", names).agg(F.count("*")).na.fill(0, names)
 
 
 def row_percent(table: DataFrame, levels: list[str], digits: int = 1) -> DataFrame:
     total = sum(F.col(v) for v in levels[1:]) + F.col(levels[0])
     return table.withColumns({
-        v: F.format_string("%.1f%%", F.round(F.col(v) / total * 100, digits)) for v in levels
+        v: F.format_string(f"%.{digits}f%%", F.round(F.try_divide(F.col(v), total) * 100, digits)) for v in levels
     })
 
 

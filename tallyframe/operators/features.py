@@ -46,7 +46,7 @@ class GroupMedian:
         self.state = State(grouped_quantiles(train, by, col, [0.5], ["__med"], count="__size"), by)
 
     def apply(self, df: DataFrame) -> DataFrame:
-        out = self.state.attach(df, count_col="__size")
+        out = self.state.attach(df)
         return out.withColumn(self.col, F.coalesce(F.col(self.col), F.col("__med"))).drop("__med", "__size")
 
 
@@ -81,7 +81,7 @@ class KeyEncoding:
         self.state = State(train.groupBy(col).agg(stat.alias(name), F.count("*").alias("__size")), [col])
 
     def apply(self, df: DataFrame) -> DataFrame:
-        return self.state.attach(df, count_col="__size").drop("__size")
+        return self.state.attach(df).drop("__size")
 
 
 # ── scaling ──────────────────────────────────────────────────────────────────

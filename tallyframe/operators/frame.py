@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.session import State
+from tallyframe.session import State, anti_join
 
 
 # ── projection ───────────────────────────────────────────────────────────────
@@ -86,7 +86,7 @@ def sample_n(df: DataFrame, n: int, key: Column, tie: list[str]) -> DataFrame:
 def join_back(df: DataFrame, by: list[str], aggs: list[Column], source: DataFrame | None = None) -> DataFrame:
     """Put group statistics of ``source`` (default: df itself) on every row of df."""
     stats = (source or df).groupBy(*by).agg(*aggs, F.count("*").alias("__size"))
-    return State(stats, by).attach(df, count_col="__size").drop("__size")
+    return State(stats, by).attach(df).drop("__size")
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], how: str = "left") -> DataFrame:
@@ -109,9 +109,8 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: list[tuple[str, str]], h
 
 def unmatched(df: DataFrame, other: DataFrame, on: list[tuple[str, str]]) -> DataFrame:
     """Rows of df with no match in ``other``, whose keys are reduced before they move."""
-    keys = other.select(*[F.col(r).alias(lk) for lk, r in on]).distinct().withColumn("__seen", F.lit(True))
-    out = State(keys, [lk for lk, _ in on]).attach(df)
-    return out.where(F.col("__seen").isNull()).drop("__seen")
+    keys = other.select(*[F.col(r).alias(lk) for lk, r in on]).distinct()
+    return anti_join(df, keys, [lk for lk, _ in on])
 
 
 def set_difference(a: DataFrame, b: DataFrame) -> DataFrame:

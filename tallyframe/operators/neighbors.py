@@ -43,7 +43,7 @@ def neighbor_means(donor: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     )
     want = placed.where("rows > 0").select("x", "rows", "at")
     near = want.groupBy("at").agg(F.count("*").alias("__n")).join(near, "at", "left")
-    got = State(near, ["at"]).attach(want, count_col="__n")
+    got = State(near, ["at"]).attach(want)
     ranked = F.array_sort(F.transform("near", lambda d: F.struct(
         F.abs(d["x"] - F.col("x")).alias("far"), d["c"].alias("c"), d["s"].alias("s"))))
     got = got.withColumn("ranked", ranked)

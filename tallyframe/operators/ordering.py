@@ -46,7 +46,7 @@ def row_numbers(df: DataFrame, order: list, name: str = "obs", by: list[str] = (
     if not by:
         return out
     first = out.groupBy(*by).agg(F.min(name).alias("__first"), F.count("*").alias("__size"))
-    out = State(first, list(by)).attach(out, count_col="__size")
+    out = State(first, list(by)).attach(out)
     return out.withColumn(name, F.col(name) - F.col("__first") + 1).drop("__first", "__size")
 
 

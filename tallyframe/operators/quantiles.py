@@ -221,7 +221,7 @@ def grouped_quantiles(df: DataFrame, by: list[str], col: str, probs: list[float]
         F.when(whole | F.lit(p <= 0.0 or p >= 1.0), F.col(end)).otherwise(F.col("__cuts")[i]).alias(f"__e{i}")
         for i, (p, end) in enumerate(zip(asked, ["__mn", "__mx"] * k))
     ]
-    joined = State(sketch.select(*by, "__n", *edges), by).attach(base, count_col="__n", how="inner")
+    joined = State(sketch.select(*by, "__n", *edges), by).attach(base, how="inner")
     # The number of bracket edges passed grows with x and is the same either for
     # a gap between brackets or for a run of values inside them.
     passed, inside = F.lit(0), F.lit(False)
@@ -249,7 +249,11 @@ def grouped_quantiles(df: DataFrame, by: list[str], col: str, probs: list[float]
         lo = F.floor(h + 1e-9)
         a, b = at(lo), at(F.least(lo + 1, F.col("__n") - 1))
         out.append((a + F.max(F.greatest(h - lo, F.lit(0.0))) * (b - a)).alias(nm))
-    return placed.groupBy(*by).agg(*out)
+    answer = placed.groupBy(*by).agg(*out)
+    # groups in which nothing is known have a row of NULLs
+    known = df.groupBy(*by).agg(F.count(_known(F.col(col))).alias("__n")).where("__n = 0")
+    none = [F.col("__n").alias(count)] if count else []
+    return answer.unionByName(known.select(*by, *none, *[F.lit(None).cast("double").alias(nm) for nm in names]))
 
 
 def median(df: DataFrame, col: str) -> float | None:

@@ -16,12 +16,15 @@ from tallyframe.plans.ols import Y, Fit, solve
 
 
 def bucket(keys: list[str], n: int, salt: int = 0) -> Column:
-    """Repeatable bucket 0..n-1 of up to two integer keys, equal on any partitioning."""
+    """Repeatable bucket 0..n-1 of integer keys, equal on any partitioning.  Each key is
+    reduced first, so large ones do not overflow."""
     mix = [7919, 104729]
-    out = F.lit(salt)
+    while len(mix) < len(keys):
+        mix.append((mix[-1] * 7919 + 12_345) % 1_000_003 | 1)
+    out = F.lit(salt % n).cast("long")
     for k, prime in zip(keys, mix):
-        out = out + F.col(k) * prime
-    return F.pmod(out, F.lit(n))
+        out = out + F.pmod(F.col(k).cast("long"), F.lit(n).cast("long")) * (prime % n)
+    return F.pmod(out, F.lit(n).cast("long"))
 
 
 def split(df: DataFrame, keys: list[str], share: float = 0.8, parts: int = 10) -> tuple[DataFrame, DataFrame]:
@@ -62,7 +65,7 @@ def metric_columns(actual: Column, predicted: Column, train_mean: float | None =
         base = F.var_pop(actual) * F.count(actual)
     else:
         base = F.sum((actual - train_mean) * (actual - train_mean))
-    out["r2_vs_train_mean"] = 1 - F.sum(e * e) / base
+    out["r2_vs_train_mean"] = 1 - F.try_divide(F.sum(e * e), base)
     return out
 
 
@@ -75,24 +78,19 @@ def metric_set(df: DataFrame, actual: str, predicted: str, names: list[str]) ->
 
 def eval_regression(df: DataFrame, actual: Column, predicted: Column, name: str,
                     train_mean: float | None = None) -> DataFrame:
-    m = metric_columns(actual, predicted, train_mean)
-    return df.agg(
-        F.lit(name).alias("model"), m["n"].alias("n"), F.round(m["mae"], 3).alias("mae"),
-        F.round(m["rmse"], 3).alias("rmse"), F.round(m["mape"], 2).alias("mape"),
-        F.round(m["r2_vs_train_mean"], 4).alias("r2"),
-    )
+    return df.agg(*report_columns(name, metric_columns(actual, predicted, train_mean)))
+
+
+def report_columns(name: str, m: dict[str, Column]) -> list[Column]:
+    digits = {"mae": ("mae", 3), "rmse": ("rmse", 3), "mape": ("mape", 2), "r2": ("r2_vs_train_mean", 4)}
+    return [F.lit(name).alias("model"), m["n"].alias("n"), *[F.round(m[k], d).alias(c) for c, (k, d) in digits.items()]]
 
 
 def compare_on_test(test: DataFrame, fits: dict[str, Fit], actual: Column, train_mean: float) -> DataFrame:
     """Metrics of several models from one scan of the test rows."""
     aggs = []
     for nm, f in fits.items():
-        m = metric_columns(actual, f.prediction(), train_mean)
-        aggs.append(F.struct(
-            F.lit(nm).alias("model"), m["n"].alias("n"), F.round(m["mae"], 3).alias("mae"),
-            F.round(m["rmse"], 3).alias("rmse"), F.round(m["mape"], 2).alias("mape"),
-            F.round(m["r2_vs_train_mean"], 4).alias("r2"),
-        ))
+        aggs.append(F.struct(*report_columns(nm, metric_columns(actual, f.prediction(), train_mean))))
     return test.agg(F.array(*aggs).alias("m")).select(F.inline("m"))
 
 
@@ -122,7 +120,7 @@ def k_fold(df: DataFrame, y: Column, terms: dict[str, Column], fold: Column) ->
     d = F.col("__a") - F.col("__m")
     return scored.groupBy("fold").agg(
         F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-        (1 - F.sum(e * e) / F.sum(d * d)).alias("r2"),
+        (1 - F.try_divide(F.sum(e * e), F.sum(d * d))).alias("r2"),
         F.pow(F.corr("__a", "__p"), 2).alias("rsq"), F.count("*").alias("n"),
     )
 

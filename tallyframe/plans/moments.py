@@ -61,9 +61,10 @@ class Moments:
 
 
 def _center(data: DataFrame, k: int) -> np.ndarray:
-    """A point near the means from the first rows; only digits depend on it."""
-    rows = data.select([f"m{i}" for i in range(k)]).head(500)
-    return np.array(rows, dtype=float).mean(axis=0) if rows else np.zeros(k)
+    """The means of all rows, so that sums about them keep their digits however the
+    rows are ordered."""
+    row = data.agg(*[F.avg(f"m{i}") for i in range(k)]).first() if k else []
+    return np.array([0.0 if v is None or not np.isfinite(v) else v for v in row])
 
 
 def grouped_moments(df: DataFrame, terms: dict[str, Column], by: Column | None = None) -> dict:

@@ -31,8 +31,10 @@ def numeric(*names: str) -> dict[str, Column]:
 
 
 def factor(name: str, levels: list) -> dict[str, Column]:
-    """Treatment dummies; the first level is the reference."""
-    return {f"{name}{lv}": (F.col(name) == F.lit(lv)).cast("double") for lv in levels[1:]}
+    """Treatment dummies; the first level is the reference.  A level outside the list is
+    unknown: its rows are not fitted and get no prediction."""
+    known = F.col(name).isin(levels)
+    return {f"{name}{lv}": F.when(known, (F.col(name) == F.lit(lv)).cast("double")) for lv in levels[1:]}
 
 
 def product(a: dict[str, Column], b: dict[str, Column]) -> dict[str, Column]:
@@ -237,12 +239,13 @@ class Fit:
         """Fitted, residual, leverage, standardised residual and Cook's distance."""
         s2 = self.sigma ** 2
         e, h = F.col("resid"), F.col("hat")
+        left = F.when(1.0 - h >= 1e-10, 1.0 - h)  # a row that fits itself has no measure
         return (
             df.withColumn("fitted", self.prediction())
             .withColumn("resid", self.y - F.col("fitted"))
             .withColumn("hat", self.leverage())
-            .withColumn("std_resid", e / (self.sigma * F.sqrt(1.0 - h)))
-            .withColumn("cooksd", e * e * h / ((self.p + 1) * s2 * (1.0 - h) * (1.0 - h)))
+            .withColumn("std_resid", F.try_divide(e, self.sigma * F.sqrt(left)))
+            .withColumn("cooksd", F.try_divide(e * e * h, (self.p + 1) * s2 * left * left))
         )
 
 
@@ -291,6 +294,8 @@ def residual_summary(df: DataFrame, f: Fit) -> list[float]:
 
 def anova_nested(small: Fit, big: Fit) -> dict:
     d = small.df_resid - big.df_resid
+    if d <= 0 or big.df_resid <= 0 or big.rss <= 0:
+        return {"df": d, "sum_sq": small.rss - big.rss, "statistic": math.nan, "p_value": math.nan}
     f = ((small.rss - big.rss) / d) / (big.rss / big.df_resid)
     return {"df": d, "sum_sq": small.rss - big.rss, "statistic": f, "p_value": dist.f_upper(f, d, big.df_resid)}
 
@@ -340,7 +345,7 @@ def variance_inflation(m: Moments, names: list[str]) -> dict[str, float]:
 def durbin_watson(df: DataFrame, f: Fit, order: list[str], by: list[str] = ()) -> float:
     rows = complete_rows(df, f.y, f.terms)
     s = adjacent_sums(rows, f.y - f.prediction(), order, by)
-    return s["sq"] / s["vv"]
+    return s["sq"] / s["vv"] if s["vv"] else math.nan
 
 
 def breusch_pagan(df: DataFrame, f: Fit) -> dict:

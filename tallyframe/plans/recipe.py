@@ -208,7 +208,7 @@ def impute_knn(train, cols, by: str, neighbors: int = 5):
             x = F.col(by).cast("double")
             asked = df.where(F.col(c).isNull() & x.isNotNull()).groupBy(x.alias("x")).agg(F.count("*").alias("rows"))
             means = neighbor_means(donor, asked, neighbors).select(F.col("x").alias("__x"), "rows", "value")
-            out = State(means, ["__x"]).attach(df.withColumn("__x", x), count_col="rows")
+            out = State(means, ["__x"]).attach(df.withColumn("__x", x))
             df = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col("value"))).drop("__x", "rows", "value")
         return df
 

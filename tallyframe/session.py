@@ -1,20 +1,26 @@
-"""Session helpers: where intermediate tables go and how small state is kept."""
+"""Session helpers: where intermediate tables go and how per-key state is joined."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of fitted state (levels, group statistics) that may be held on the driver
-# and shipped to every executor.  Larger state stays distributed.
+# Fitted state (levels, group statistics) within both limits may be held on the
+# driver and shipped to every executor.  Larger state stays distributed.
 SMALL_ROWS = 10_000
-# Keys that get a dedicated broadcast when the state itself is too large for one.
+SMALL_BYTES = 8_000_000
+# A key is hot when it has more than one HOT_KEYS-th of all rows, so there are fewer
+# hot keys than this.
 HOT_KEYS = 1_000
+# Copies of a hot key's state rows when these are too many to broadcast.
+SALTS = 32
 
 _local_root: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -22,17 +28,63 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root:
-        return root
+        return root.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
-    return _local_root.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="tallyframe-"))
+    if sc.applicationId not in _local_root:
+        _local_root[sc.applicationId] = tempfile.mkdtemp(prefix="tallyframe-")
+    return _local_root[sc.applicationId]
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write df once to the shared folder and read it back, cutting its lineage."""
-    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/tallyframe-{uuid.uuid4().hex}"
+    """Write df once to the shared folder and read it back, cutting its lineage.
+
+    The table stays until ``release``, or the end of a ``scratch`` block.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/tallyframe-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, keep: int = 0) -> int:
+    """Remove the tables that ``materialize`` wrote, but for the first ``keep``; frames
+    that still read them become unusable."""
+    paths = _written.get(spark.sparkContext.applicationId, [])
+    gone = paths[keep:]
+    del paths[keep:]
+    for p in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(gone)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Intermediates written inside the block are removed at its end."""
+    keep = len(_written.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release(spark, keep)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About the size of a row: texts by their length, the rest by 8 bytes a value."""
+    size = F.lit(16 + 8 * len(df.columns)).cast("long")
+    for c, kind in df.dtypes:
+        x = F.col(f"`{c}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(x), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(x))), F.lit(0))
+    return size
+
+
+def is_small(df: DataFrame, max_rows: int, max_bytes: int = SMALL_BYTES) -> bool:
+    n = df.agg(F.count("*").alias("n"), F.sum(row_bytes(df)).alias("b")).first()
+    return n.n <= max_rows and (n.b or 0) <= max_bytes
 
 
 class State:
@@ -42,51 +94,73 @@ class State:
     once; a stored table (``stored=True``) is used where it lies.
     """
 
-    def __init__(self, df: DataFrame, keys: list[str], max_rows: int = SMALL_ROWS, stored: bool = False):
+    def __init__(self, df: DataFrame, keys: list[str], max_rows: int | None = None, stored: bool = False):
         self.keys = keys
+        limit = SMALL_ROWS if max_rows is None else max_rows
         kept = df if stored else df.persist()
         try:
-            rows = kept.take(max_rows + 1)
-            self.small = len(rows) <= max_rows
+            self.small = is_small(kept, limit)
             if self.small:
-                self.df = df.sparkSession.createDataFrame(rows, df.schema)
+                self.df = df.sparkSession.createDataFrame(kept.collect(), df.schema)
             else:
                 self.df = df if stored else materialize(kept)
         finally:
             if not stored:
                 kept.unpersist()
 
-    def attach(self, df: DataFrame, count_col: str | None = None, how: str = "left") -> DataFrame:
+    def attach(self, df: DataFrame, how: str = "left", hot: DataFrame | None = None) -> DataFrame:
         """Join the state onto df by its keys; NULL keys match NULL keys.
 
-        Small state is broadcast.  Otherwise the HOT_KEYS most frequent keys are
-        broadcast and their rows are spread over all tasks, so no single key can
-        fill one join task.  Frequencies come from ``count_col`` of the state or,
-        without one, from a count of df's keys.
+        Small state is broadcast.  Otherwise df is cut in two: rows of its own hot
+        keys (NULL and keys without state included) meet a broadcast of just these
+        keys' state, all others a plain join.  No key of the plain join has more than
+        one HOT_KEYS-th of all rows.  ``hot`` gives these keys where they are known.
         """
         keys = self.keys
         cols = [c for c in self.df.columns if c not in keys]
         mine = [f"__k_{k}" for k in keys]
         right = self.df.select(*[F.col(k).alias(m) for k, m in zip(keys, mine)], *cols)
+
+        def joined(left: DataFrame, state: DataFrame, *more: str) -> DataFrame:
+            cond = [left[k].eqNullSafe(state[m]) for k, m in zip(keys, mine)]
+            cond += [left[c] == state[f"{c}_"] for c in more]
+            return left.join(state, cond, how).select(*df.columns, *[state[c] for c in cols])
+
         if self.small:
-            cond = [df[k].eqNullSafe(right[m]) for k, m in zip(keys, mine)]
-            return df.join(F.broadcast(right), cond, how).drop(*mine)
-        if count_col is not None:
-            top = right.orderBy(F.desc(count_col), *mine).limit(HOT_KEYS)
-        else:
-            often = df.groupBy(*keys).agg(F.count("*").alias("__n")).orderBy(F.desc("__n"), *keys).limit(HOT_KEYS)
-            cond = [right[m].eqNullSafe(often[k]) for k, m in zip(keys, mine)]
-            top = right.join(F.broadcast(often), cond, "left_semi")
-        hot = df.sparkSession.createDataFrame(top.collect(), right.schema).select(
-            *[F.col(m).alias(f"__h_{k}") for k, m in zip(keys, mine)], F.struct(*cols).alias("__hot"))
-        cond = [df[k].eqNullSafe(hot[f"__h_{k}"]) for k in keys]
-        slot = F.when(F.col("__hot").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("int") + 1)
-        out = df.join(F.broadcast(hot), cond, "left").withColumn("__slot", slot)
-        cold = right.select(*mine, F.lit(0).alias("__zero"), F.struct(*cols).alias("__cold"))
-        cond = [out[k].eqNullSafe(cold[m]) for k, m in zip(keys, mine)]
-        out = out.join(cold, [*cond, out["__slot"] == cold["__zero"]], "left")
-        picked = F.coalesce("__hot", "__cold")
-        if how == "inner":
-            out = out.where(picked.isNotNull())
-        return out.select(*df.columns, *[picked[c].alias(c) for c in cols])
+            return joined(df, F.broadcast(right))
+        hot = hot_keys(df, keys) if hot is None else hot
+        if hot is None:
+            return joined(df, right)
+        marks = hot.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__hot"))
+        cond = [df[k].eqNullSafe(marks[f"__h_{k}"]) for k in keys]
+        marked = df.join(F.broadcast(marks), cond, "left")
+        busy = marked.where("__hot").select(*df.columns)
+        rest = marked.where("__hot IS NULL").select(*df.columns)
+        cond = [right[m].eqNullSafe(marks[f"__h_{k}"]) for k, m in zip(keys, mine)]
+        theirs = right.join(F.broadcast(marks), cond, "left_semi")
+        if is_small(theirs, SMALL_ROWS):
+            first = joined(busy, F.broadcast(theirs))
+        else:  # keys of a dimension that repeat very often: spread over salted copies
+            busy = busy.withColumn("__salt", (F.rand(7) * SALTS).cast("int"))
+            copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+            first = joined(busy, theirs.withColumn("__salt_", copies), "__salt")
+        return first.unionByName(joined(rest, right))
+
+
+def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
+    """Keys (NULL too) with more than one HOT_KEYS-th of df's rows, as a local table."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("__n")).persist()
+    try:
+        total = counts.agg(F.sum("__n")).first()[0] or 0
+        # text keys of many KB would make the list large; they stay with the others
+        rows = counts.where(F.col("__n") * HOT_KEYS > total).where(row_bytes(counts) < SMALL_BYTES // HOT_KEYS).drop("__n").collect()
+    finally:
+        counts.unpersist()
+    return df.sparkSession.createDataFrame(rows, df.select(*keys).schema) if rows else None
+
+
+def anti_join(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of df whose key (NULL counts as a value) is not in ``keys``, which holds each
+    key once under the names ``on``.  Hot keys of df are split off as in ``attach``."""
+    marked = State(keys.select(*on).withColumn("__seen", F.lit(True)), on, stored=True).attach(df)
+    return marked.where(F.col("__seen").isNull()).drop("__seen")

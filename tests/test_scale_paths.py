@@ -74,8 +74,10 @@ def test_trimmed_mean_with_ties(spark, tight, trim):
     assert quantiles.trimmed_mean(df, "x", trim) == pytest.approx(x[k: len(x) - k].mean())
 
 
-@pytest.mark.parametrize("max_rows,count_col", [(1, "n"), (1, None), (1000, "n")])
-def test_state_join_is_whole_and_matches_null(spark, max_rows, count_col, monkeypatch):
+@pytest.mark.parametrize("max_rows,salted", [(1, False), (1, True), (1000, False)])
+def test_state_join_is_whole_and_matches_null(spark, max_rows, salted, monkeypatch):
+    if salted:
+        monkeypatch.setattr("tallyframe.session.SMALL_ROWS", 0)
     monkeypatch.setattr("tallyframe.session.HOT_KEYS", 2)
     rows = [(1, i) for i in range(300)] + [(None, i) for i in range(200)] + [(k, k) for k in range(2, 40)] + [(99, 0)]
     df = spark.createDataFrame(rows, "k int, v long")
@@ -87,11 +89,46 @@ def test_state_join_is_whole_and_matches_null(spark, max_rows, count_col, monkey
         sums[k] = sums.get(k, 0) + v
     sums[99] = None
     for how, size in (("left", len(rows)), ("inner", len(rows) - 1)):
-        out = state.attach(df, count_col=count_col, how=how).collect()
+        out = state.attach(df, how=how).collect()
         assert len(out) == size
         assert all(r["s"] == sums[r["k"]] for r in out)
 
 
+def test_hot_null_and_unknown_keys_do_not_fill_one_task(spark):
+    """60 % of one key, 20 % NULL, 10 % of a key without state: no task gathers them."""
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(saved, ("false", "-1")):
+            spark.conf.set(k, v)
+        i = F.col("id")
+        key = F.when(i % 10 < 6, F.lit(1)).when(i % 10 < 8, None).when(i % 10 == 8, F.lit(-5)).otherwise((i / 10).cast("int") + 10)
+        df = spark.range(40_000, numPartitions=8).select(key.cast("int").alias("k"), i.alias("v"))
+        state = State(df.where("k > 0").groupBy("k").agg(F.count("*").alias("n")), ["k"], 1)
+        out = state.attach(df)
+        sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 40_000 and max(sizes) <= 2 * 40_000 / 8
+        assert out.where("k = 1").agg(F.min("n"), F.max("n")).first() == (24_000, 24_000)
+        assert out.where("n IS NULL").count() == 12_000
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+
+
+def test_written_tables_are_removed(spark):
+    import os
+
+    from tallyframe.session import checkpoint_root, materialize, release, scratch
+
+    release(spark)
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    with scratch(spark):
+        materialize(spark.range(5))
+    kept = materialize(spark.range(3))
+    assert kept.count() == 3 and len(set(os.listdir(root)) - before) == 1
+    assert release(spark) == 1 and set(os.listdir(root)) == before
+
+
 def test_row_numbers_over_many_parts_and_hot_group(spark):
     rng = np.random.default_rng(2)
     rows = [(0 if rng.random() < 0.6 else int(rng.integers(1, 50)), int(v), i) for i, v in
@@ -149,7 +186,6 @@ def test_set_difference_and_unmatched(spark):
 @pytest.mark.parametrize("how", ["left", "inner", "right", "full"])
 def test_join_dimension_equals_plain_join(spark, how, small, monkeypatch):
     monkeypatch.setattr("tallyframe.session.SMALL_ROWS", small)
-    monkeypatch.setattr("tallyframe.session.State.__init__.__defaults__", (small, False), raising=False)
     monkeypatch.setattr("tallyframe.session.HOT_KEYS", 2)
     fact = spark.createDataFrame([(i, i % 3 if i % 2 else i % 40) for i in range(400)] + [(900, 77)], "id int, k int")
     dim = spark.createDataFrame([(k, f"d{k}") for k in range(0, 60)], "d int, name string")
