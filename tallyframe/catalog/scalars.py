@@ -156,10 +156,10 @@ def _(t):
     return t.orders.select("o_orderkey", f["month_name"].alias("month_name"), f["day_of_week"].alias("day_of_week"))
 
 
-@query("date_flags", """SELECT event_id, isodow(ts) IN (6, 7) AS is_weekend, hour(ts) IN (7, 8, 17, 18, 19) AS is_peak_hour,
- month(ts) IN (7, 11, 12) AS is_holiday_month FROM events""")
+@query("date_flags", """SELECT event_id, isodow(ts) IN (6, 7) AS is_weekend, hour(ts) BETWEEN 9 AND 16 AS is_peak_hour,
+ month(ts) IN (1, 5, 12) AS is_holiday_month FROM events""")
 def _(t):
-    f = S.date_features(F.col("ts"))
+    f = S.date_features(F.col("ts"), peak_hours=list(range(9, 17)), holiday_months=[1, 5, 12])
     return t.events.select("event_id", *[f[k].alias(k) for k in ("is_weekend", "is_peak_hour", "is_holiday_month")])
 
 

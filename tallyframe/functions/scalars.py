@@ -94,8 +94,9 @@ def cyclical(value: Column, period: int) -> tuple[Column, Column]:
     return F.sin(angle), F.cos(angle)
 
 
-def date_features(ts: Column) -> dict[str, Column]:
-    """Calendar parts, flags and circular encodings of a date-time."""
+def date_features(ts: Column, peak_hours: list[int] = (), holiday_months: list[int] = ()) -> dict[str, Column]:
+    """Calendar parts, flags and circular encodings of a date-time.  Which hours are busy
+    and which months hold holidays depends on the data, so the caller says."""
     hour, month = F.hour(ts), F.month(ts)
     hour_sin, hour_cos = cyclical(hour, 24)
     month_sin, month_cos = cyclical(month, 12)
@@ -109,8 +110,8 @@ def date_features(ts: Column) -> dict[str, Column]:
         "quarter": F.quarter(ts),
         "hour_of_day": hour,
         "is_weekend": is_in(weekday_monday1(ts), [6, 7]),
-        "is_peak_hour": is_in(hour, [7, 8, 17, 18, 19]),
-        "is_holiday_month": is_in(month, [7, 11, 12]),
+        "is_peak_hour": is_in(hour, list(peak_hours)),
+        "is_holiday_month": is_in(month, list(holiday_months)),
         "hour_sin": hour_sin,
         "hour_cos": hour_cos,
         "month_sin": month_sin,

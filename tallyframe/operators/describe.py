@@ -61,7 +61,8 @@ def crosstab(df: DataFrame, row: str, col: str, levels: list | None = None, othe
         value = F.when(value.isin(names), value).otherwise(other)
         names = [*names, other]
     cells = kept.select(row, value.alias("__level"))
-    return cells.groupBy(row).pivot("__level", names).agg(F.count("*")).na.fill(0, names)
+    wide = cells.groupBy(row).pivot("__level", names).agg(F.count(row))
+    return wide.select(row, *[F.coalesce(F.col(f"`{n}`"), F.lit(0).cast("long")).alias(n) for n in names])
 
 
 def row_percent(table: DataFrame, levels: list[str], digits: int = 1) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Every text comes back as it was: quotes doubled, blanks kept, "" apart from NULL.
-CSV = {"quote": '"', "escape": '"', "emptyValue": '""', "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# Every text comes back as it was: quotes doubled, blanks kept, "" apart from NULL.  NULL
+# is written as nothing at all; the reader's mark for that must not be "" itself.
+CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 class Tables:
@@ -38,7 +39,7 @@ def grid_frame(spark: SparkSession, name: str, start: float, stop: float, step:
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, header: bool = True) -> DataFrame:
     """CSV with a declared schema (no inference pass over the data).  Texts may hold line
     breaks, so a file is read by one task; a row that does not fit the schema is an error."""
-    return spark.read.csv(path, schema=schema, header=header, multiLine=True, mode="FAILFAST", **CSV)
+    return spark.read.csv(path, schema=schema, header=header, multiLine=True, mode="FAILFAST", nullValue="\0", **CSV)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, column: str, lower, upper, parts: int,
