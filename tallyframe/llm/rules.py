@@ -109,7 +109,11 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     p, k = F.col("__p"), F.size("__p")
     steps = F.zip_with(F.slice(p, 1, k - 1), F.slice(p, 2, k - 1), lambda a, b: F.least(b - a, F.lit(3).cast("long")))
     covered = F.aggregate(steps, F.lit(3).cast("long"), lambda acc, x: acc + x)
-    return df.withColumn("n_repeat_words", F.coalesce(F.when(k > 0, covered), F.lit(0).cast("long"))).drop("__p")
+    df = df.withColumn("n_repeat_words", F.coalesce(F.when(k > 0, covered), F.lit(0).cast("long"))).drop("__p")
+    # One row in, one row out; but filters on a measurement stay above this step.  Pushed
+    # below it, they would work out every array once for each time it is named.
+    whole = F.explode(F.array(F.struct(*names))).alias("__m")
+    return df.select(*[F.col(f"`{c}`") for c in kept], whole).select(*[F.col(f"`{c}`") for c in kept], "__m.*")
 
 
 def ledger(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "text") -> DataFrame:
