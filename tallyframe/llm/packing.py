@@ -53,11 +53,11 @@ class WordTokens:
 
     def learn(self, words: list[str]) -> np.ndarray:
         """Codes of words; encodes those not seen before."""
-        new = [w for w in words if w not in self.code]
+        new = list(dict.fromkeys(w for w in words if w not in self.code))
         if new:
             if len(self.code) + len(new) > KNOWN_WORDS:
                 self.clear()
-                new = words
+                new = list(dict.fromkeys(words))
             got = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
             sizes = np.fromiter(map(len, got), np.int64, len(got))
             flat = np.fromiter((i for g in got for i in g), np.uint32, int(sizes.sum()))
@@ -71,22 +71,41 @@ class WordTokens:
         """Ids of all texts one after the other, each with END, and the ends of texts."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         lists = pc.ascii_split_whitespace(texts)
-        if isinstance(lists, pa.ChunkedArray):
-            lists = lists.combine_chunks()
         coded = lists.flatten().dictionary_encode()
-        codes = self.learn(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
-        first, size = self.starts[codes], self.starts[codes + 1] - self.starts[codes]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        at = np.repeat(first - upto[:-1], size) + np.arange(upto[-1])
+        ids, size = self.words(coded.dictionary)
+        first = np.cumsum(size) - size
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        upto = np.concatenate([[0], np.cumsum(size[codes])])
         words_upto = lists.offsets.to_numpy().astype(np.int64)
         per_doc = np.diff(upto[words_upto - words_upto[0]])
         ends = np.cumsum(per_doc + 1)
         out = np.full(int(ends[-1]) if len(ends) else 0, END, np.uint32)
         body = np.ones(len(out), bool)
         body[ends - 1] = False
-        out[body] = self.ids[at]
+        out[body] = ids[spread(first[codes], size[codes])]
         return out, ends
 
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and how many each has.  A word that ends in
+        plain punctuation after a Latin letter or digit is split there, as the tokenizer
+        does, and ASCII letters are lowered first, so that fewer strings are encoded."""
+        plain = pc.invert(pc.match_substring(words, "<|"))
+        low = pc.if_else(plain, pc.ascii_lower(words), words)
+        parts = pc.extract_regex(low, "^(?P<body>.*[a-z0-9ß-öø-ÿ])(?P<tail>[.,!?;:%$&*#|]+)$")
+        split = pc.and_(plain, pc.is_valid(parts))
+        body = pc.if_else(split, pc.fill_null(pc.struct_field(parts, "body"), ""), low).dictionary_encode()
+        tail = pc.if_else(split, pc.fill_null(pc.struct_field(parts, "tail"), ""), "").dictionary_encode()
+        known = [d.dictionary.to_pylist() for d in (body, tail)]
+        codes = self.learn([*known[0], *known[1]])
+        pair = np.stack([codes[body.indices.to_numpy()], codes[len(known[0]) + tail.indices.to_numpy()]], 1).ravel()
+        size = self.starts[pair + 1] - self.starts[pair]
+        return self.ids[spread(self.starts[pair], size)], size.reshape(-1, 2).sum(1)
+
+
+def spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first, first + 1, … for ``size`` places each, one after the other."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
 
 class Packer:
     """Windows of one task.  ``flush`` fills all windows it can, or all there are."""
