@@ -15,11 +15,12 @@ on at twice the rank.
 *Links.*  Equal texts are one node.  ``BANDS`` bands of ``K / BANDS`` coordinates make
 rooms; two texts at 0.8 share one with probability 0.99997.  In a room 16-bit sketches
 are compared in place and only a maximum spanning forest leaves it; those pairs are
-checked exactly.  In a second round rooms give the pairs that still lie in different
-components and whose sketches do not rule out a link (estimate of ``FLOOR`` or more,
-which loses 4 in a million of links at 0.8).  Rooms with more than ``ROOM`` nodes are cut
-by a second band that must agree too, and what is still larger is compared block by
-block, a task for each pair of blocks.
+checked exactly.  In a second round the texts that may still be linked to another
+component (estimate of ``FLOOR`` or more, which loses 4 in a million of links at 0.8)
+bring their whole shingle weights to the room; all pairs are compared there and again
+only a forest of links leaves.  So no step emits all pairs of a group.  Rooms with more
+than ``ROOM`` nodes are cut by a second band that must agree too, and what is still larger
+is compared block by block, a task for each pair of blocks.
 
 Edge cases: NULL texts are alone in their class, named by their own id.  Texts without
 words are linked to equal texts only.  Texts of one to four words are one shingle.
@@ -34,18 +35,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyframe.llm.graph import components
+from tallyframe.llm.words import mix, word_codes
 from tallyframe.session import HOT_KEYS, State, materialize
 
 SHINGLE = 5
 SIMILAR = (8, 10)
 K, BANDS = 80, 20
 FLOOR = 0.6
-ROOM = 1000
+ROOM = 2000
 PART = 8_000_000
 LOW_RANK = 2.0 ** -5
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD1342543DE82EF95, 0xC2B2AE3D27D4EB4F)]
@@ -53,28 +55,13 @@ _BITS = np.uint64(48)
 _MASK = np.uint64((1 << 48) - 1)
 
 
-def mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * _M[1]
-    h = (h ^ (h >> np.uint64(27))) * _M[2]
-    return h ^ (h >> np.uint64(31))
-
-
 def unit(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(11)) * 2.0 ** -53
 
 
 def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted (document, shingle, weight) of up to 65,536 texts; shingles as 48-bit hashes."""
-    lists = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
-    words = lists.flatten()
-    real = pc.greater(pc.binary_length(words), 0)
-    offsets = lists.offsets.to_numpy().astype(np.int64)
-    offsets -= offsets[0]
-    upto = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[offsets]
-    coded = words.filter(real).dictionary_encode()
-    digest = xxhash.xxh3_64_intdigest
-    known = np.array([digest(w) for w in coded.dictionary.to_pylist()], np.uint64)
-    h = known[coded.indices.to_numpy()] if len(known) else np.zeros(0, np.uint64)
+    h, upto = word_codes(texts)
     n = np.diff(upto)
     count = np.where(n > 0, np.maximum(n - SHINGLE + 1, 1), 0)
     doc = np.repeat(np.arange(len(n)), count)
@@ -235,45 +222,129 @@ def forest(same: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def candidates(placed: DataFrame, labelled: bool) -> DataFrame:
-    """(a, b) from rooms: a spanning forest each, or with labels all pairs of different
-    labels that the sketches allow."""
+def by_room(rows: DataFrame, columns: list[str], schema: str, work) -> DataFrame:
+    """``work`` on the rows of each room, which lie together in one task; it returns a
+    list of tuples for ``schema``."""
+    ordered = rows.select(*columns).repartition("room").sortWithinPartitions("room", "node")
+    names = StructType.fromDDL(schema).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        kinds: list[pa.Field] = []
+
+        def out(found):
+            cols = list(zip(*found)) if found else [[] for _ in kinds]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kinds)], names=[f.name for f in kinds])
 
-        def work():
-            if len(held) < 2 or labelled and len({r[3] for r in held}) == 1:
-                return []
-            s = np.frombuffer(b"".join(r[2] for r in held), np.uint16).reshape(len(held), K)
-            same = np.empty((len(s), len(s)), np.float32)
-            for a in range(0, len(s), 64):
-                same[a:a + 64] = (s[a:a + 64, None, :] == s[None, :, :]).mean(2)
-            if labelled:
-                _, code = np.unique(np.array([r[3] for r in held], dtype=object), return_inverse=True)
-                pairs = np.argwhere(np.triu(same >= FLOOR, 1) & (code[:, None] != code[None, :])).tolist()
-            else:
-                pairs = forest(same)
-            return [tuple(sorted((held[i][1], held[j][1]))) for i, j in pairs]
-
-        def out(pairs):
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.binary())], names=["a", "b"])
-
-        pairs: list[tuple] = []
+        found: list[tuple] = []
         for batch in batches:
-            cols = [c.to_pylist() for c in batch.columns]
-            for row in zip(*cols):
+            node = batch.schema.field("node").type
+            known = {"a": node, "b": node, **{f.name: f.type for f in batch.schema}}
+            kinds = [pa.field(c, known[c]) for c in names]
+            for row in zip(*[c.to_pylist() for c in batch.columns]):
                 if held and row[0] != held[-1][0]:
-                    pairs += work()
+                    found += work(held)
                     held = []
                 held.append(row)
-            yield out(pairs)
-            pairs = []
-        yield out(work())
+            yield out(found)
+            found = []
+        if held:
+            yield out(work(held))
+
+    return ordered.mapInArrow(run, schema)
+
+
+ROOM_TYPE = "struct<key:bigint,key2:bigint,i:int,j:int>"
+
+
+def alike(sketches: list[bytes]) -> np.ndarray:
+    """Shares of equal sketch coordinates."""
+    s = np.frombuffer(b"".join(sketches), np.uint16).reshape(len(sketches), K)
+    same = np.empty((len(s), len(s)), np.float32)
+    for a in range(0, len(s), 64):
+        same[a:a + 64] = (s[a:a + 64, None, :] == s[None, :, :]).mean(2)
+    return same
+
+
+def trees(placed: DataFrame) -> DataFrame:
+    """(a, b): a spanning forest of each room by sketches."""
 
-    columns = ["room", "node", "sketch", *(["label"] if labelled else [])]
-    ordered = placed.select(*columns).repartition("room").sortWithinPartitions("room", "node")
-    return ordered.mapInArrow(run, "a binary, b binary").distinct()
+    def work(held):
+        if len(held) < 2:
+            return []
+        pairs = forest(alike([r[2] for r in held]))
+        return [tuple(sorted((held[i][1], held[j][1]))) for i, j in pairs]
+
+    return by_room(placed, ["room", "node", "sketch"], "a binary, b binary", work).distinct()
+
+
+def contenders(placed: DataFrame) -> DataFrame:
+    """(room, node, label) of nodes that a sketch allows to be linked to another label."""
+
+    def work(held):
+        if len({r[3] for r in held}) == 1:
+            return []
+        _, code = np.unique(np.array([r[3] for r in held], dtype=object), return_inverse=True)
+        near = (alike([r[2] for r in held]) >= FLOOR) & (code[:, None] != code[None, :])
+        return [(held[i][0], held[i][1], held[i][3]) for i in np.flatnonzero(near.any(1))]
+
+    return by_room(placed, ["room", "node", "sketch", "label"], f"room {ROOM_TYPE}, node binary, label binary", work)
+
+
+def features(texts: DataFrame) -> DataFrame:
+    """(node, feats): one 32-bit hash for each unit of weight of each shingle, so that
+    shared weight is a count of equal hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2000):
+                part = batch.slice(a, 2000)
+                doc, elem, weight = shingles(part.column(1))
+                layer = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+                code = mix(np.repeat(elem, weight) * _M[0] + layer.astype(np.uint64)).astype(np.uint32).view(np.int32)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(doc, weight, part.num_rows))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(code))], names=["node", "feats"])
+
+    return texts.mapInArrow(run, "node binary, feats array<int>")
+
+
+def joins(rows: DataFrame) -> DataFrame:
+    """(a, b): links that connect different labels in a room, by whole weights.  All pairs
+    of a room are compared as products of 0/1 matrices, and a forest of links leaves."""
+
+    def work(held):
+        m = len(held)
+        size = np.array([len(r[3]) for r in held])
+        values, col, count = np.unique(np.concatenate([np.asarray(r[3], np.int32) for r in held]), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(m), size)
+        use = count[col] > 1
+        new = np.cumsum(count > 1) - 1
+        row, col = row[use], new[col[use]]
+        order = np.argsort(col, kind="stable")
+        row, col = row[order], col[order]
+        shared = np.zeros((m, m), np.float32)
+        for lo in range(0, int((count > 1).sum()), 4096):
+            some = slice(*np.searchsorted(col, [lo, lo + 4096]))
+            x = np.zeros((m, 4096), np.float32)
+            x[row[some], col[some] - lo] = 1
+            shared += x @ x.T
+        union = size[:, None] + size[None, :] - shared
+        up = {r[2]: r[2] for r in held}
+
+        def top(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        out = []
+        for i, j in np.argwhere(np.triu(SIMILAR[1] * shared >= SIMILAR[0] * union, 1)).tolist():
+            a, b = top(held[i][2]), top(held[j][2])
+            if a != b:
+                up[a] = b
+                out.append(tuple(sorted((held[i][1], held[j][1]))))
+        return out
+
+    return by_room(rows, ["room", "node", "label", "feats"], "a binary, b binary", work).distinct()
 
 
 def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -309,13 +380,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     placed = materialize(rooms(signed))
     near = placed.select("node").distinct()
     met = materialize(texts.join(near, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")))
-    tried = materialize(candidates(placed, False))
-    links = materialize(linked(tried, met))
+    links = materialize(linked(materialize(trees(placed)), met))
     labels = components(links)
     named = placed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    more = candidates(named, True).join(tried, ["a", "b"], "left_anti")
-    more = materialize(linked(more, met))
-    labels = components(links.unionByName(more))
+    open_ = materialize(contenders(named))
+    if open_.limit(1).count():
+        feats = features(met.join(open_.select("node").distinct(), "node", "left_semi"))
+        more = materialize(joins(open_.join(feats, "node")))
+        links = materialize(links.unionByName(linked(more, met)))
+        labels = components(links)
     ids = materialize(base.select("id", "node"))
     known = State(labels.select("node", "label"), ["node"], stored=True).attach(ids.where("node IS NOT NULL"))
     known = known.select("id", F.coalesce("label", "node").alias("label"))
