@@ -6,7 +6,8 @@ and above the median of the graph's second eigenvector.  A small network with on
 layer learns each vertex's part and its neighbours' parts.  It then sends every row of
 the table to its most probable part, and a query to as many parts as reach the wanted
 recall on sample rows that were kept out of graph and training.  There all rows are
-scored with the original vectors.
+scored with the original vectors.  The number of parts follows the square root of the
+rows (``SPREAD`` rows per squared part), so answers per query grow slowly.
 
 Parts are cut into chunks of ``CHUNK`` rows and ``CHUNK`` queries, so a part with very
 many (or very many equal) vectors is spread over tasks; each chunk answers with its
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from tallyframe.session import materialize
 
 SAMPLE = 8000
-PART_ROWS = 1000
+SPREAD = 256
 MOST_PARTS = 128
 EXACT = 2000
 CHUNK = 4000
@@ -133,7 +134,7 @@ def train(x: np.ndarray, target: np.ndarray, epochs: int = 20, seed: int = 4) ->
 def fit(x: np.ndarray, rows: int, k: int, recall: float = RECALL) -> Router:
     """Router for a table of ``rows`` rows from a sample of its vectors in hash order."""
     parts = 1
-    while parts < MOST_PARTS and rows > PART_ROWS * parts and len(x) >= 64 * parts:
+    while parts < MOST_PARTS and rows > SPREAD * parts * parts and len(x) >= 64 * parts:
         parts *= 2
     d = x.shape[1]
     if rows < EXACT or parts < 2:

@@ -44,7 +44,7 @@ def test_fewer_candidates_than_k_and_none(spark):
 def test_recall_and_chunks(spark, monkeypatch):
     monkeypatch.setattr(ap, "CHUNK", 100)
     monkeypatch.setattr(ap, "EXACT", 500)
-    monkeypatch.setattr(ap, "PART_ROWS", 300)
+    monkeypatch.setattr(ap, "SPREAD", 20)
     rng = np.random.default_rng(2)
     mid = rng.normal(size=(12, 16))
     x = mid[rng.integers(0, 12, 3000)] + 0.6 * rng.normal(size=(3000, 16))
