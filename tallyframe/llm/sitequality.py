@@ -76,10 +76,14 @@ class Model:
 
 def fit(feats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", fit_rows: int = FIT_ROWS) -> Model:
     """Ridge logistic regression by Newton steps on at most ``fit_rows`` labelled rows,
-    taken in order of a hash of their key."""
+    those with the smallest hashes of their key."""
     lab = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     lab = lab.groupBy(F.col(key).alias("__k")).agg(F.max(label).cast("double").alias("__y"))
     rows = feats.join(lab, feats[key] == lab["__k"]).select(*FEATURES, "__y", F.xxhash64("__k").alias("__h"))
+    # a hash share first, so that tasks do not each send fit_rows rows
+    n = lab.count()
+    mark = F.pmod("__h", F.lit(2**31))
+    rows = rows.where(mark <= int(min(1.0, 1.1 * fit_rows / max(n, 1)) * 2**31))
     got = rows.orderBy("__h", *FEATURES).limit(fit_rows).drop("__h").toPandas().to_numpy(float)
     y = got[:, -1] if len(got) else np.zeros(0)
     if len(np.unique(y)) < 2:
