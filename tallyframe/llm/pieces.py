@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding by one walk over a trie of distinct words.
 
 A text is marked as the model does it (a blank becomes ``▁``, one ``▁`` goes first) and
-cut into marked words: blanks and what follows them.  No piece crosses such a border.
+cut into marked words: blanks and what follows them.  No piece crosses such a border, nor
+one between two characters that no piece holds side by side; words are cut there too.
 The distinct words of a batch are sorted, so they form a trie in depth-first order; the
 walk keeps the forward states along the current path and computes a state only where a
 word leaves its predecessor.  Two states are kept per prefix:
@@ -37,8 +38,9 @@ from tallyframe.llm.packing import slices, spread
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-KNOWN_WORDS = 600_000
-KNOWN_PAIRS = 2_000_000
+KNOWN_WORDS = 300_000
+KNOWN_PAIRS = 300_000
+PART = 4_000_000
 
 
 class Model:
@@ -62,7 +64,15 @@ class Model:
         self.bytes = [b"" if i in special else p.replace(MARK, " ").encode() for i, p in enumerate(self.names)]
         for b, i in enumerate(self.byte):
             self.bytes[i] = bytes([b])
-        self.longest = max(map(len, self.piece))
+        # pieces by their characters from the last to the first; "" holds the id
+        self.ending: dict = {}
+        for p, i in self.piece.items():
+            at = self.ending
+            for c in reversed(p):
+                at = at.setdefault(c, {})
+            at[""] = i
+        # characters that stand side by side inside some piece; elsewhere no piece crosses
+        self.inside = {p[n:n + 2] for p in self.piece for n in range(len(p) - 1)}
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def merge(self, word: str) -> list[str]:
@@ -98,7 +108,7 @@ class Model:
 
     def words(self, words: list[str]) -> dict[str, tuple[list[int], list[int], float]]:
         """(ids by merges, ids by Viterbi, score of the Viterbi path) of each word."""
-        piece, score, apart, longest = self.piece, self.score, self.apart, self.longest
+        score, apart, ending = self.score, self.apart, self.ending
         best: list = [0]
         back = [0]  # length of the last piece on the best path
         last = [""]  # last piece by merges
@@ -109,20 +119,23 @@ class Model:
                 same += 1
             del best[same + 1:], back[same + 1:], last[same + 1:]
             for i in range(same + 1, len(word) + 1):
-                top, size, tail = None, 1, None
-                for n in range(min(longest, i), 0, -1):
-                    p = word[i - n:i]
-                    k = piece.get(p)
-                    if k is None:
-                        if n > 1:
-                            continue
-                        s = best[i - 1] + self.unknown
-                    else:
-                        s = best[i - n] + score[k]
-                    if top is None or s > top:
-                        top, size = s, n
-                    if tail is None and apart(last[i - n], p):
-                        tail = p
+                node, j, sizes = ending.get(word[i - 1]), i - 1, []
+                top, size = None, 1
+                if node is None or "" not in node:
+                    top = best[j] + self.unknown
+                    sizes.append(1)
+                while node is not None:
+                    k = node.get("")
+                    if k is not None:
+                        s = best[j] + score[k]
+                        sizes.append(i - j)
+                        if top is None or s >= top:  # the longer piece on a tie
+                            top, size = s, i - j
+                    j -= 1
+                    if j < 0:
+                        break
+                    node = node.get(word[j])
+                tail = next(word[i - n:i] for n in reversed(sizes) if n == 1 or apart(last[i - n], word[i - n:i]))
                 best.append(top)
                 back.append(size)
                 last.append(tail)
@@ -174,14 +187,28 @@ class Encoder:
     def encode(self, words: pa.Array, offsets: np.ndarray, prefix: str):
         """Per text: ends of its ids and the ids, by merges and by Viterbi, and its score."""
         coded = words.dictionary_encode()
-        codes = self.learn([prefix + w for w in coded.dictionary.to_pylist()])[coded.indices.to_numpy()]
+        index = coded.indices.to_numpy()
+        # words are cut once more where no piece of the vocabulary can cross
+        bits, begin, inside = [], [], self.model.inside
+        for w in coded.dictionary.to_pylist():
+            w, a = prefix + w, 0
+            begin.append(len(bits))
+            for n in range(1, len(w)):
+                if w[n - 1:n + 1] not in inside:
+                    bits.append(w[a:n])
+                    a = n
+            bits.append(w[a:])
+        codes = self.learn(bits)
+        total = (lambda x: np.add.reduceat(x, begin)) if begin else (lambda x: x)
         out = []
         for side in (0, 1):
             first = self.starts[side][codes]
             size = self.starts[side][codes + 1] - first
+            ids, size = self.flat[side][spread(first, size)], total(size)
+            first, size = (np.cumsum(size) - size)[index], size[index]
             upto = np.concatenate([[0], np.cumsum(size)])
-            out.append((upto[offsets].astype(np.int32), self.flat[side][spread(first, size)]))
-        upto = np.concatenate([[0], np.cumsum(self.scores[codes])])
+            out.append((upto[offsets].astype(np.int32), ids[spread(first, size)]))
+        upto = np.concatenate([[0], np.cumsum(total(self.scores[codes])[index])])
         return (*out, upto[offsets[1:]] - upto[offsets[:-1]])
 
 
@@ -195,7 +222,7 @@ def encode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model_path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, PART):
                 texts = pc.fill_null(part.column(1), "")
                 # texts with single blanks inside need no regular expression
                 odd = pc.or_(pc.match_substring_regex(texts, f"  |{MARK}|^ | $"), pc.equal(texts, ""))
@@ -236,17 +263,24 @@ def decode(coded: DataFrame, model_path: str, ids: str = "ids", name: str = "dec
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.StringType())]))
 
 
-def digest(coded: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Id columns replaced by the CRC-32 of their unsigned little-endian 32-bit ids."""
-    from pyspark.sql import types as T
+def summary(coded: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Counts and CRC-32 sums (of unsigned little-endian 32-bit ids) of both encodings,
+    and whether the text comes back from its ids."""
 
-    names = [columns.get(c, c) for c in coded.columns]
-    fields = [T.StructField(columns[f.name], T.LongType()) if f.name in columns else f for f in coded.schema.fields]
+    def crc(ids) -> int | None:
+        return zlib.crc32(ids.values.to_numpy().astype("<u4").tobytes()) if ids.is_valid else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(model_path)
         for batch in batches:
-            cols = [pa.array([zlib.crc32(v.values.to_numpy().astype("<u4").tobytes()) if v.is_valid else None for v in col], pa.int64())
-                    if n in columns else col for n, col in zip(batch.schema.names, batch.columns)]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    return coded.mapInArrow(run, T.StructType(fields))
+            ids, path = batch.column(2), batch.column(3)
+            same = [not t.is_valid or model.decode(i.values.to_numpy()) == t.as_py().replace(MARK, " ") for t, i in zip(batch.column(1), ids)]
+            cols = [pa.array([len(c.values) if c.is_valid else None for c in col], pa.int64()) for col in (ids, path)]
+            sums = [pa.array(map(crc, col), pa.int64()) for col in (ids, path)]
+            score = pc.cast(batch.column(4), pa.int64(), safe=False)
+            yield pa.RecordBatch.from_arrays([batch.column(0), cols[0], sums[0], cols[1], sums[1], score, pa.array(same)],
+                                             names=[key, "n_pieces", "ids_crc32", "n_viterbi", "viterbi_crc32", "viterbi_score", "round_trip"])
+
+    kind = dict(coded.dtypes)[key]
+    return coded.select(key, text, "ids", "viterbi_ids", "viterbi_score").mapInArrow(
+        run, f"{key} {kind}, n_pieces long, ids_crc32 long, n_viterbi long, viterbi_crc32 long, viterbi_score long, round_trip boolean")

@@ -117,11 +117,7 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_pieces")
 def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
     model = tokenizer("piece_bpe_32k.model")
-    coded = pieces.decode(pieces.encode(table(spark, folder, "documents"), model), model)
-    same = F.coalesce(F.col("decoded") == F.translate("text", pieces.MARK, " "), F.col("text").isNull())
-    out = coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.size("viterbi_ids").cast("long").alias("n_viterbi"),
-                       "viterbi_ids", F.col("viterbi_score").cast("long").alias("viterbi_score"), same.alias("round_trip"))
-    return pieces.digest(out, {"ids": "ids_crc32", "viterbi_ids": "viterbi_crc32"})
+    return pieces.summary(pieces.encode(table(spark, folder, "documents"), model), model)
 
 
 @query("op2_quotation_links", r"""

@@ -56,3 +56,5 @@ def test_edges(spark, monkeypatch):
     assert sorted((r.doc_id or -1, r.text or "", r.decoded or "") for r in got) == sorted((k or -1, t or "", t or "") for k, t, _ in rows)
     assert [r.ids for r in got if r.doc_id == 1] == [None] and [r.ids for r in got if r.doc_id == 2] == [[]]
     assert pieces.encode(df.limit(0), PATH).count() == 0
+    sums = {(r.doc_id, r.n_pieces) for r in pieces.summary(pieces.encode(df, PATH), PATH).collect() if r.round_trip}
+    assert sums == {(r.doc_id, None if r.ids is None else len(r.ids)) for r in got}
