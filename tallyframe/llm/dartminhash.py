@@ -19,8 +19,7 @@ checked exactly.  In a second round the texts that may still be linked to anothe
 component (estimate of ``FLOOR`` or more, which loses 4 in a million of links at 0.8)
 bring their whole shingle weights to the room; all pairs are compared there and again
 only a forest of links leaves.  So no step emits all pairs of a group.  Rooms with more
-than ``ROOM`` nodes are cut by a second band that must agree too, and what is still larger
-is compared block by block, a task for each pair of blocks.
+than ``ROOM`` nodes are compared block by block, a task for each pair of blocks.
 
 Edge cases: NULL texts are alone in their class, named by their own id.  Texts without
 words are linked to equal texts only.  Texts of one to four words are one shingle.
@@ -193,16 +192,10 @@ def rooms(signed: DataFrame) -> DataFrame:
     small = rows.where(F.col("n") <= ROOM).select(F.struct(F.col("key"), F.lit(0).cast("long").alias("key2"), F.lit(0).alias("i"), F.lit(0).alias("j")).alias("room"), "node")
     large = rows.where(F.col("n") > ROOM)
     if large.limit(1).count():
-        # another band must agree as well
-        sub = large.join(signed.select("node", "bands"), "node").select("key", "node", F.explode("bands").alias("key2")).where("key <> key2")
-        # a room under (key, key2) is the same as one under (key2, key)
-        sub = sub.select(F.least("key", "key2").alias("key"), F.greatest("key", "key2").alias("key2"), "node").distinct()
-        many = sub.groupBy("key", "key2").agg(F.count("*").alias("n")).where("n > 1")
-        sub = materialize(State(many, ["key", "key2"]).attach(sub, "inner"))
+        # block by block, a task for each pair of blocks
         blocks = F.ceil(2 * F.col("n") / ROOM).cast("int")
-        mine = F.pmod(F.xxhash64("node"), F.when(F.col("n") > ROOM, blocks).otherwise(1)).cast("int")
-        sub = sub.withColumn("b", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.when(F.col("n") > ROOM, blocks).otherwise(1) - 1)))
-        room = F.struct("key", "key2", F.least("b", "o").cast("int").alias("i"), F.greatest("b", "o").cast("int").alias("j"))
+        sub = large.withColumn("b", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        room = F.struct(F.col("key"), F.lit(0).cast("long").alias("key2"), F.least("b", "o").cast("int").alias("i"), F.greatest("b", "o").cast("int").alias("j"))
         small = small.unionByName(sub.select(room.alias("room"), "node"))
     return small.join(signed.select("node", "sketch"), "node")
 

@@ -99,3 +99,14 @@ def test_empty_and_keep_one(spark):
     t = family(1, 1)[0]
     df = spark.createDataFrame([(4, t), (2, t), (2, t), (None, t), (7, None), (8, "other")], "doc_id long, text string")
     assert sorted(str(r.doc_id) for r in dm.keep_one(df).collect()) == ["2", "7", "8", "None"]
+
+
+def test_one_shared_band_is_enough_in_a_large_room(spark, monkeypatch):
+    monkeypatch.setattr(dm, "ROOM", 8)
+    rows = [(bytes([i]), [1] + [100 * i + b for b in range(2, 21)], b"") for i in range(1, 31)]
+    met = {}
+    for r in dm.rooms(spark.createDataFrame(rows, "node binary, bands array<long>, sketch binary")).collect():
+        met.setdefault(tuple(r.room), set()).add(bytes(r.node))
+    pairs = {(a, b) for nodes in met.values() for a in nodes for b in nodes}
+    assert all((a[0], b[0]) in pairs for a in rows for b in rows)
+    assert max(map(len, met.values())) < 30
