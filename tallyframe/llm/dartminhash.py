@@ -364,8 +364,8 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, class_id, class_size): one row per row of docs."""
+def classed(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(id, node) of the rows of docs, and (id, node, label) of those that have a text."""
     base = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
     base = base.withColumn("node", F.unhex(F.md5("text")))
     texts = base.where("text IS NOT NULL").select("node", "text")
@@ -384,7 +384,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         labels = components(links)
     ids = materialize(base.select("id", "node"))
     known = State(labels.select("node", "label"), ["node"], stored=True).attach(ids.where("node IS NOT NULL"))
-    known = known.select("id", F.coalesce("label", "node").alias("label"))
+    return ids, known.select("id", "node", F.coalesce("label", "node").alias("label"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, class_id, class_size): one row per row of docs."""
+    ids, known = classed(docs, key, text)
+    known = known.select("id", "label")
     classes = known.groupBy("label").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
     out = State(classes, ["label"]).attach(known).select(F.col("id").alias(key), "class_id", "class_size")
     alone = ids.where("node IS NULL").select(F.col("id").alias(key), F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
@@ -392,12 +398,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one document of each class: the one that names it.  Rows without an id
-    stay, as nothing names them; rows that repeat a kept id stay once."""
-    found = near_duplicates(docs, key, text).where(F.col(key) != F.col("class_id")).select(F.col(key).alias("__gone")).distinct()
-    left = docs.join(found, docs[key] == found["__gone"], "left_anti")
-    ids = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
-    if ids.limit(1).count():
-        named = left.where(F.col(key).isNotNull()).dropDuplicates([key])
-        left = named.unionByName(left.where(F.col(key).isNull()))
-    return left
+    """docs with one document of each class: the one that names it (of several texts under
+    that id, one).  Rows without an id stay, as nothing names them, and so do different
+    texts under one id; rows equal in id and text stay once, the smallest of them."""
+    _, known = classed(docs, key, text)
+    stays = known.where("id IS NOT NULL").groupBy("label").agg(F.min(F.struct("id", "node")).alias("m")).select(F.col("m.id").alias("__id"), F.col("m.node").alias("__of"))
+    node = F.unhex(F.md5(F.col(text).cast("string")))
+    rows = docs.withColumn("__node", node)
+    named = rows.where(F.col(key).isNotNull() & F.col("__node").isNotNull())
+    left = named.join(stays, (named[key] == stays["__id"]) & (named["__node"] == stays["__of"]), "left_semi")
+    left = left.unionByName(rows.where(F.col(key).isNotNull() & F.col("__node").isNull()))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    left = left.groupBy(key, "__node").agg(F.min(row).alias("__row")).select("__row.*")
+    return left.unionByName(docs.where(F.col(key).isNull()))

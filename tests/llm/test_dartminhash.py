@@ -110,3 +110,12 @@ def test_one_shared_band_is_enough_in_a_large_room(spark, monkeypatch):
     pairs = {(a, b) for nodes in met.values() for a in nodes for b in nodes}
     assert all((a[0], b[0]) in pairs for a in rows for b in rows)
     assert max(map(len, met.values())) < 30
+
+
+def test_keep_one_decides_by_row(spark):
+    t, u = family(1, 1)[0], family(2, 1)[0]
+    near = t.rsplit(" ", 1)[0] + " q"
+    rows = [(1, t, 5), (2, near, 1), (2, u, 1), (3, u, 1), (4, None, 1), (4, "other", 1), (1, t, 3), (6, "twice here", 1), (6, "another one", 1)]
+    got = dm.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n long").repartition(3)).collect()
+    want = [(1, t, 3), (2, u, 1), (4, None, 1), (4, "other", 1), (6, "twice here", 1), (6, "another one", 1)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
