@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import annpartition, chains, dartminhash, langid, packing, pieces, quotes, rules, sitequality, suffix
+from tallyframe.llm import anchors, annpartition, chains, dartminhash, langid, packing, pieces, quotes, rules, sitequality, suffix
 from tallyframe.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,9 @@ def op2_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_fuzzy_passages")
 def op7_fuzzy_passages(spark: SparkSession, folder: str) -> DataFrame:
     return chains.mark(table(spark, folder, "documents"))
+
+
+@query("op13_token_links")
+def op13_token_links(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return anchors.link(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
