@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -49,6 +48,8 @@ SLICE = 3_000_000
 KNOWN_WINDOWS = 200_000
 # Pairs whose counts are sent to every task (17 bytes each).
 HEADS = 2_000_000
+# Groups with more links are counted by distinct ids.
+LARGE = 4096
 
 
 class ByteLevel:
@@ -120,9 +121,7 @@ class Side:
         self.tokenizer = tokenizer
         self.bytes = tokenizer.bytes
         self.length = np.array([len(b) for b in self.bytes], np.int64)
-        self.lengths = self.length.tolist()
         self.blank = np.array([b[:1] == b" " for b in self.bytes])
-        self.shown = [str(i) for i in range(len(self.bytes))]
 
     def encode(self, cut: list[list[str]]) -> list[list[int]]:
         ids = iter(self.tokenizer.encode(list(chain.from_iterable(cut))))
@@ -132,8 +131,21 @@ class Side:
         return b"".join(map(self.bytes.__getitem__, ids)) == raw
 
 
+def shared_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the tokens of both sides that end at the same byte."""
+    marks = [np.zeros(int(a_ends[-1]) + 1, bool) for _ in "ab"]
+    marks[0][a_ends], marks[1][b_ends] = True, True
+    return np.flatnonzero(marks[1][a_ends]), np.flatnonzero(marks[0][b_ends])
+
+
+def joined(texts: pa.Array, ends: np.ndarray, sign: str) -> pa.Array:
+    """Runs of texts, given by their ends, each joined by ``sign``."""
+    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, texts), sign)
+
+
 class Aligner:
-    """Aligns windows of ids; those met before are remembered."""
+    """Aligns windows of ids; those met before are remembered by their id tuples."""
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b, self.width = a, b, len(b.bytes)
@@ -141,37 +153,44 @@ class Aligner:
 
     def clear(self) -> None:
         self.code: dict[tuple[bytes, bytes], int] = {}
-        self.text: list[str] = []
+        self.text = pa.array([], pa.string())
         self.groups, self.links = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.starts = np.zeros(1, np.int64)
         self.pairs, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def window(self, a: list[int], b: list[int]) -> tuple[str, int, dict[int, int]]:
-        """(groups as text, their number, links of each id pair) of one window."""
-        la, lb, sa, sb = self.a.lengths, self.b.lengths, self.a.shown, self.b.shown
-        i = j = x = y = from_i = from_j = 0
-        text, links = [], {}
-        while i < len(a) or j < len(b):
-            if x <= y:
-                x += la[a[i]]
-                i += 1
-            else:
-                y += lb[b[j]]
-                j += 1
-            if x == y:
-                ga, gb = a[from_i:i], b[from_j:j]
-                from_i, from_j = i, j
-                text.append(",".join([sa[k] for k in ga]) + "|" + ",".join([sb[k] for k in gb]))
-                if len(ga) * len(gb) == 1:
-                    code = ga[0] * self.width + gb[0]
-                    links[code] = links.get(code, 0) + 1
-                    continue
-                each = Counter(gb)
-                for k, n in Counter(ga).items():
-                    for m, o in each.items():
-                        code = k * self.width + m
-                        links[code] = links.get(code, 0) + n * o
-        return ";".join(text), len(text), links
+    def windows(self, keys: list[tuple[bytes, bytes]]) -> None:
+        """Align new windows, all at once."""
+        a, b = (np.frombuffer(b"".join([k[n] for k in keys]), np.int32).astype(np.int64) for n in (0, 1))
+        upto = np.cumsum(np.fromiter((len(k[0]) // 4 for k in keys), np.int64, len(keys)))
+        ends = [x + 1 for x in shared_ends(np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b]))]
+        lo = [np.concatenate([[0], e[:-1]]) for e in ends]
+        size = [e - s for e, s in zip(ends, lo)]
+        upto = np.searchsorted(ends[0], upto) + 1  # ends of windows in groups
+        sides = [joined(pa.array(x).cast(pa.string()), e, ",") for x, e in zip((a, b), ends)]
+        self.text = pa.concat_arrays([self.text, joined(pc.binary_join_element_wise(*sides, "|"), upto, ";")])
+        n_groups = np.diff(np.concatenate([[0], upto]))
+        window = np.repeat(np.arange(len(keys)), n_groups)
+        n_links = size[0] * size[1]
+        self.groups = np.concatenate([self.groups, n_groups])
+        self.links = np.concatenate([self.links, np.add.reduceat(n_links, upto - n_groups)])
+        # links of plain groups one by one; those of large ones from the counts of their ids
+        plain = np.flatnonzero(n_links <= LARGE)
+        in_a = spread(lo[0][plain], size[0][plain])
+        each = np.repeat(plain, size[0][plain])
+        code = np.repeat(a[in_a] * self.width, size[1][each]) + b[spread(lo[1][each], size[1][each])]
+        found = [(np.repeat(window[each], size[1][each]), code, np.ones(len(code), np.int64))]
+        for g in np.flatnonzero(n_links > LARGE):
+            (x, n), (y, m) = (np.unique(ids[s[g]:e[g]], return_counts=True) for ids, s, e in zip((a, b), lo, ends))
+            code = (x[:, None] * self.width + y[None, :]).ravel()
+            found.append((np.full(len(code), window[g]), code, (n[:, None] * m[None, :]).ravel()))
+        window, code, times = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((code, window))
+        window, code, times = window[order], code[order], times[order]
+        new = np.flatnonzero(np.concatenate([[True], (window[1:] != window[:-1]) | (code[1:] != code[:-1])]))
+        size = np.bincount(window[new], minlength=len(keys))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(size)])
+        self.pairs = np.concatenate([self.pairs, code[new]])
+        self.times = np.concatenate([self.times, np.add.reduceat(times, new)])
 
     def learn(self, keys: list[tuple[bytes, bytes]]) -> np.ndarray:
         """Codes of windows, each given as the bytes of its two id tuples."""
@@ -179,26 +198,15 @@ class Aligner:
         if new and len(self.code) + len(new) > KNOWN_WINDOWS:
             self.clear()
             new = keys
-        got = [self.window(np.frombuffer(p, np.int32).tolist(), np.frombuffer(q, np.int32).tolist()) for p, q in new]
-        self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
-        self.text += [g[0] for g in got]
-        size = np.fromiter((len(g[2]) for g in got), np.int64, len(got))
-        pairs = np.fromiter(chain.from_iterable(g[2] for g in got), np.int64, int(size.sum()))
-        times = np.fromiter(chain.from_iterable(g[2].values() for g in got), np.int64, int(size.sum()))
-        links = np.fromiter((sum(g[2].values()) for g in got), np.int64, len(got))
-        self.groups = np.concatenate([self.groups, np.array([g[1] for g in got], np.int64)])
-        self.links = np.concatenate([self.links, links])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(size)])
-        self.pairs, self.times = np.concatenate([self.pairs, pairs]), np.concatenate([self.times, times])
+        if new:
+            self.windows(new)
+            self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
         return np.fromiter(map(self.code.__getitem__, keys), np.int64, len(keys))
 
     def documents(self, ids_a: list[list[int]], ids_b: list[list[int]]):
         """Of texts that both tokenizers give back: codes of their windows, first windows."""
         a, b = (np.fromiter(chain.from_iterable(x), np.int32) for x in (ids_a, ids_b))
-        end_a, end_b = np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b])
-        at_a, at_b = (np.zeros(int(end_a[-1]) + 1, bool) for _ in "ab")
-        at_a[end_a], at_b[end_b] = True, True
-        shared_a, shared_b = np.flatnonzero(at_b[end_a]), np.flatnonzero(at_a[end_b])
+        shared_a, shared_b = shared_ends(np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b]))
         # a window ends with its document, or where a blank-marked token of both follows
         last_a = np.cumsum(np.fromiter(map(len, ids_a), np.int64, len(ids_a))) - 1
         stop = np.zeros(len(a), bool)
@@ -279,12 +287,10 @@ def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
                     counts[0, good], counts[1, good] = [len(x) for x in ids[0]], [len(x) for x in ids[1]]
                     counts[2, good] = np.add.reduceat(aligner.groups[codes], first[:-1])
                     counts[3, good] = np.add.reduceat(aligner.links[codes], first[:-1])
-                    listed, told = codes.tolist(), aligner.text.__getitem__
-                    for i, lo, hi in zip(good, first[:-1].tolist(), first[1:].tolist()):
-                        s = ";".join(map(told, listed[lo:hi]))
-                        digest[i] = hashlib.sha256(s.encode()).hexdigest()
+                    for i, told in zip(good, joined(aligner.text.take(pa.array(codes)), first[1:], ";")):
+                        digest[i] = hashlib.sha256(told.as_buffer()).hexdigest()
                         if groups:
-                            shown[i] = s
+                            shown[i] = told.as_py()
                     upto, pairs, times = aligner.links_of(codes, first)
                     ends[np.array(good) + 1] = np.diff(upto)
                     ends = np.cumsum(ends)

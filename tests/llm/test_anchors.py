@@ -87,7 +87,7 @@ def test_small_memory_long_texts_and_rare_pairs_by_a_join(spark, monkeypatch):
     texts = sample(spark)[:45]
     want, held = brute(texts)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
-    for name, value in (("KNOWN_WINDOWS", 50), ("PART", 40), ("SLICE", 3000), ("HEADS", len(held) // 3)):
+    for name, value in (("KNOWN_WINDOWS", 50), ("PART", 40), ("SLICE", 20_000), ("HEADS", len(held) // 3), ("LARGE", 1)):
         monkeypatch.setattr(anchors, name, value)
     code = anchors.parts("a b  c d e", 1)
     assert code == ["a", "b  c", "d", "e"] and " ".join(code) == "a b  c d e"
