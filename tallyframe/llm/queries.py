@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import anchors, annpartition, chains, dartminhash, langid, packing, pieces, quotes, rules, sitequality, suffix
+from tallyframe.llm import anchors, annpartition, chains, dartminhash, langid, packing, pareto, pieces, quotes, rules, sitequality, suffix
 from tallyframe.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,35 @@ def op7_fuzzy_passages(spark: SparkSession, folder: str) -> DataFrame:
 def op13_token_links(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return anchors.link(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+def _pareto_sql(rounds: int = pareto.ROUNDS) -> str:
+    """The sample as SQL: the water level by a running sum, each round by another."""
+    sql = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS words, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM d GROUP BY source),
+o AS (SELECT *, row_number() OVER q AS n, sum(3 * words) OVER q - 3 * words AS below,
+  sum(w) OVER (ORDER BY 3.0::DOUBLE * words / w DESC, source NULLS LAST) AS rest, sum(words) OVER () AS total
+  FROM s WINDOW q AS (ORDER BY 3.0::DOUBLE * words / w, source NULLS FIRST)),
+v AS (SELECT arg_min((total - below)::DOUBLE / rest, n) AS level FROM o WHERE w * ((total - below)::DOUBLE / rest) <= 3 * words),
+t AS (SELECT source, words, CASE WHEN w * level > 3 * words THEN (3 * words)::DOUBLE ELSE w * level END AS target FROM s, v),
+f AS (SELECT source, words, target, coalesce(CASE WHEN words > 0 THEN target / words END, 0) AS copies FROM t),
+r AS (SELECT d.*, words, target, floor(copies)::BIGINT AS whole, copies - floor(copies) AS p,
+  (('0x' || substr(md5(concat_ws('|', 'mix', doc_id, size)), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source),
+q AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS rank FROM r),
+c0 AS (SELECT *, least(floor(rank / (1 + rank) * 1125899906842624.0::DOUBLE), 1125899906842623.0::DOUBLE)::BIGINT AS k, false AS got,
+  target - sum(whole * size) OVER (PARTITION BY source) AS room FROM q)"""
+    for n in range(1, rounds + 1):
+        sql += f""",
+a{n} AS (SELECT *, NOT got AND k IS NOT NULL AND size <= room AS fits FROM c{n - 1}),
+b{n} AS (SELECT *, fits AND sum(CASE WHEN fits THEN size ELSE 0 END) OVER (PARTITION BY source, fits ORDER BY k) <= room AS new FROM a{n}),
+c{n} AS (SELECT * EXCLUDE (fits, new, got, room), got OR new AS got,
+  room - sum(CASE WHEN new THEN size ELSE 0 END) OVER (PARTITION BY source) AS room FROM b{n})"""
+    return sql + f"""
+SELECT doc_id, size, words AS source_size, target, (whole + got::BIGINT) * size AS taken, whole + got::BIGINT AS copies FROM c{rounds}"""
+
+
+@query("op12_source_mix", _pareto_sql())
+def op12_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return pareto.mix(table(spark, folder, "documents"))
