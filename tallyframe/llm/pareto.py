@@ -69,7 +69,7 @@ def share_out(sources: DataFrame, cap: int = CAP) -> DataFrame:
 def expected_copies(rows: DataFrame, sources: State, cap: int) -> tuple[State, Column]:
     """Per source the factor that turns merits into copies, none above cap, whose words
     add up to the target; and the copies as a column over rows with the factor."""
-    room = F.coalesce(F.col("__target") / F.col("__words"), F.lit(0.0))
+    room = F.coalesce(F.try_divide("__target", "__words"), F.lit(0.0))
     state = State(sources.df.withColumn("__factor", room), ["__source"])
     copies = F.least(F.col("__factor") * F.col("__merit"), F.lit(float(cap)))
     while True:
@@ -174,7 +174,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", by: str = "sou
     sources = share_out(sources, cap).withColumnRenamed("__size", "__all")
     state = State(sources, ["__source"])
     if merit is None:
-        state = State(state.df.withColumn("__factor", F.coalesce(F.col("__target") / F.col("__all"), F.lit(0.0))), ["__source"])
+        state = State(state.df.withColumn("__factor", F.coalesce(F.try_divide("__target", "__all"), F.lit(0.0))), ["__source"])
         copies = F.col("__factor")
     else:
         state, copies = expected_copies(rows, state, cap)
