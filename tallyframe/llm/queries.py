@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import anchors, annpartition, chains, dartminhash, langid, packing, pareto, pieces, quotes, rules, sitequality, suffix
+from tallyframe.llm import anchors, annpartition, chains, dartminhash, dualtree, langid, packing, pareto, pieces, quotes, rules, sitequality, suffix
 from tallyframe.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,6 +156,25 @@ def op7_fuzzy_passages(spark: SparkSession, folder: str) -> DataFrame:
     return chains.mark(table(spark, folder, "documents"))
 
 
+@query("op11_ranked_search", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+a AS (SELECT item_id, t, count(*) AS c FROM q GROUP BY ALL),
+l AS (SELECT doc_id, len(w)::BIGINT AS n FROM d WHERE len(w) > 0),
+g AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS nl FROM l),
+p AS (SELECT doc_id, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d) GROUP BY ALL),
+f AS (SELECT t, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM p, g WHERE t IN (SELECT t FROM a) GROUP BY t, nd),
+x AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * nd) // nl)))) AS v
+  FROM p JOIN f USING (t) JOIN l USING (doc_id), g),
+s AS (SELECT item_id, doc_id, sum(c * v)::BIGINT AS score FROM a JOIN x USING (t) GROUP BY ALL HAVING sum(c * v) > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s
+QUALIFY rank <= 10""")
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return dualtree.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op13_token_links")
 def op13_token_links(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
