@@ -91,9 +91,27 @@ class Rows:
         return upto[end] - upto[end - size]
 
 
+def apart(rows: Rows, width: int) -> np.ndarray:
+    """How much nearer each row is to one of two unlike rows than to the other."""
+    every = np.arange(len(rows))
+    size = np.diff(rows.ends)
+    upto = np.concatenate([[0.0], np.cumsum(rows.value.astype(float) ** 2)])
+    norm = np.sqrt(np.maximum(upto[rows.ends[1:]] - upto[rows.ends[:-1]], 1e-9))
+    mean = np.bincount(rows.term, rows.value / np.repeat(norm, size), width) / len(rows)
+
+    def like(row: int) -> np.ndarray:
+        vector = np.zeros(width)
+        span = slice(rows.ends[row], rows.ends[row + 1])
+        vector[rows.term[span]] = rows.value[span] / norm[row]
+        return rows.times(vector, every) / norm
+
+    one = like(int((rows.times(mean, every) / norm).argmin()))
+    return one - like(int(one.argmin()))
+
+
 def split(rows: Rows, width: int, leaf: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(order, levels) of a tree: rows are halved at the median of the coordinate that
-    varies most, until LEAF are left.  A level holds the first places of its nodes."""
+    """(order, levels) of a tree: rows are halved by ``apart`` until ``leaf`` are left.
+    A level holds the first places of its nodes."""
     order = np.arange(len(rows))
     levels = [np.zeros(1, np.int64)]
     while True:
@@ -104,18 +122,10 @@ def split(rows: Rows, width: int, leaf: int) -> tuple[np.ndarray, list[np.ndarra
         new = []
         for lo, hi in zip(cuts.tolist(), ends.tolist()):
             new.append(lo)
-            if hi - lo <= leaf:
-                continue
-            some = rows.take(order[lo:hi])
-            value = some.value.astype(float)
-            mean = np.bincount(some.term, value, width) / (hi - lo)
-            spread_ = np.bincount(some.term, value * value, width) / (hi - lo) - mean * mean
-            key = np.zeros(hi - lo, np.int64)
-            if len(some.term):
-                at = np.flatnonzero(some.term == spread_.argmax())
-                key[np.searchsorted(some.ends, at, side="right") - 1] = some.value[at]
-            order[lo:hi] = order[lo:hi][np.argsort(-key, kind="stable")]
-            new.append((lo + hi) // 2)
+            if hi - lo > leaf:
+                key = apart(rows.take(order[lo:hi]), width)
+                order[lo:hi] = order[lo:hi][np.argsort(-key, kind="stable")]
+                new.append((lo + hi) // 2)
         levels.append(np.array(new))
 
 
@@ -176,7 +186,7 @@ def search(items: Items, docs: Rows, keys: list, best: Best) -> int:
     tree = Tree(docs, len(items.terms), LEAF)
     ours = items.tree
     last_i, last_d = len(ours.levels) - 1, len(tree.levels) - 1
-    vector = np.zeros(len(items.terms), np.int64)
+    vector, held = np.zeros(len(items.terms), np.int64), [np.zeros(0, np.int64)]
     weakest = {}
 
     def least(level: int, node: int) -> int:
@@ -188,17 +198,34 @@ def search(items: Items, docs: Rows, keys: list, best: Best) -> int:
             weakest[level, node] = int(best.least[ours.order[rows]].min())
         return weakest[level, node]
 
+    def loaded(level: int, node: int) -> bool:
+        here = ours.levels[level]
+        span = slice(here.ends[node], here.ends[node + 1])
+        vector[held.pop()] = 0
+        held.append(here.term[span])
+        vector[held[0]] = here.value[span]
+        return span.stop > span.start
+
     scored = 0
+    # first scores: each item follows the best bound down to one leaf
+    for row in range(items.count):
+        loaded(last_i, row)
+        nodes = np.zeros(1, np.int64)
+        for depth in range(last_d - 1):
+            nodes = tree.below(depth, nodes)
+            nodes = nodes[[tree.levels[depth + 1].times(vector, nodes).argmax()]]
+        nodes = tree.below(last_d - 1, nodes)
+        scored += len(nodes)
+        item = int(ours.order[row])
+        kth = np.sort(tree.levels[last_d].times(vector, nodes))[-best.k:]
+        if len(kth) == best.k:
+            best.least[item] = max(best.least[item], int(kth[0]))
     stack = [(0, 0, 0, np.zeros(1, np.int64))]
     while stack:
         level, node, depth, nodes = stack.pop()
-        here = ours.levels[level]
-        span = slice(here.ends[node], here.ends[node + 1])
-        if span.start == span.stop:
+        if not loaded(level, node):
             continue
-        vector[here.term[span]] = here.value[span]
         bound = tree.levels[depth].times(vector, nodes)
-        vector[here.term[span]] = 0
         if level == last_i and depth == last_d:
             scored += len(nodes)
             best.add(int(ours.order[node]), bound, tree.order[nodes], keys)
