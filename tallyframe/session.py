@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +88,19 @@ def is_small(df: DataFrame, max_rows: int, max_bytes: int = SMALL_BYTES) -> bool
     return n.n <= max_rows and (n.b or 0) <= max_bytes
 
 
+def taken(df: DataFrame, max_rows: int, max_bytes: int = SMALL_BYTES) -> DataFrame | None:
+    """df as a local table, or None when it is above a limit; found out by one job that
+    fetches at most max_rows + 1 rows.  A row above a thousandth of max_bytes, which
+    is fetched as NULLs, is taken for too large."""
+    size = row_bytes(df)
+    cols = [F.when(size <= max_bytes // 1000, F.col(f"`{c}`")).alias(c) for c in df.columns]
+    got = df.select(*cols, size.alias("__bytes")).limit(max_rows + 1).toArrow()
+    held = got["__bytes"].to_numpy() if got.num_rows else np.zeros(0)
+    if got.num_rows > max_rows or held.sum() > max_bytes or (held > max_bytes // 1000).any():
+        return None
+    return df.sparkSession.createDataFrame(got.drop_columns("__bytes"), df.schema)
+
+
 class State:
     """Per-key state: a local table when proven small, else a distributed one.
 
@@ -99,11 +113,9 @@ class State:
         limit = SMALL_ROWS if max_rows is None else max_rows
         kept = df if stored else df.persist()
         try:
-            self.small = is_small(kept, limit)
-            if self.small:
-                self.df = df.sparkSession.createDataFrame(kept.collect(), df.schema)
-            else:
-                self.df = df if stored else materialize(kept)
+            local = taken(kept, limit)
+            self.small = local is not None
+            self.df = local if self.small else df if stored else materialize(kept)
         finally:
             if not stored:
                 kept.unpersist()
