@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 
 def sweep(name: str, source: str, xs: list[str], y: str, by: str | None = None) -> str:
     """CTEs ending in ``name``: n, m0.. (means), b0.. (slopes), a (intercept), cij, rss, tss."""
@@ -81,3 +83,40 @@ def t_crit(df: str) -> str:
     z = 1.959963984540054
     a, b = (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96
     return f"({z} + {a!r} / ({df}) + {b!r} / pow({df}, 2))"
+
+
+def bagged_trees(rows: str, target: str, xs: list[str], key: str, trees: int, depth: int, bins: int, least: int, seed: int) -> str:
+    """CTEs ending in bag_v (key, value): bagged trees over ``rows`` (a table with the key,
+    the target and the predictors, none of them NULL but the target), level by level."""
+    cuts, upto, each = [], 0.0, 1.0
+    for k in range(8):
+        each = math.exp(-1) / math.factorial(k)
+        upto += each
+        cuts.append(round(16**5 * upto))
+    quantiles = ", ".join(repr(i / bins) for i in range(1, bins))
+    cells = ", ".join(f"{{'axis': {j}, 'bin': b{j}}}" for j in range(len(xs)))
+    side = "CASE axis " + " ".join(f"WHEN {j} THEN b{j}" for j in range(len(xs))) + " END"
+    out = [
+        "bag_e AS (SELECT " + ", ".join(f"list_distinct(quantile_cont({x}, [{quantiles}])) AS e{j}" for j, x in enumerate(xs))
+        + f" FROM {rows} WHERE {target} IS NOT NULL)",
+        f"bag_a AS (SELECT {key} AS key, {target} AS y, "
+        + ", ".join(f"len(list_filter(e{j}, lambda e: e < {x})) AS b{j}" for j, x in enumerate(xs)) + f" FROM {rows}, bag_e)",
+        f"bag_d AS (SELECT bag_a.*, tree, ('0x' || substr(md5(concat_ws('|', {seed}, tree // 6, key)), (tree % 6 * 5 + 1)::INT, 5))::BIGINT AS d"
+        f" FROM bag_a, range({trees}) r(tree))",
+        f"bag_r0 AS (SELECT * EXCLUDE (d), 1 AS node, CASE WHEN y IS NULL THEN 0 ELSE len(list_filter({cuts}, lambda c: c <= d)) END AS w FROM bag_d)",
+    ]
+    for n in range(depth):
+        out += [
+            f"bag_h{n} AS (SELECT tree, node, c.axis AS axis, c.bin AS bin, sum(w) AS n, sum(w * y) AS s"
+            f" FROM (SELECT tree, node, w, y, unnest([{cells}]) AS c FROM bag_r{n} WHERE w > 0 AND node >= {1 << n}) GROUP BY ALL)",
+            f"bag_c{n} AS (SELECT *, sum(n) OVER q AS nl, sum(s) OVER q AS sl, sum(n) OVER p AS nn, sum(s) OVER p AS ss FROM bag_h{n}"
+            " WINDOW q AS (PARTITION BY tree, node, axis ORDER BY bin), p AS (PARTITION BY tree, node, axis))",
+            f"bag_s{n} AS (SELECT tree, node, axis, bin, sl * sl / nl + (ss - sl) * (ss - sl) / (nn - nl) AS gain FROM bag_c{n}"
+            f" WHERE nl >= {least} AND nn - nl >= {least} AND gain > ss * ss / nn * (1 + 1e-12)"
+            " QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY gain DESC, axis, bin) = 1)",
+            f"bag_r{n + 1} AS (SELECT r.* REPLACE (CASE WHEN axis IS NULL THEN r.node ELSE 2 * r.node + ({side} > bin)::INT END AS node)"
+            f" FROM bag_r{n} r LEFT JOIN bag_s{n} s ON r.tree = s.tree AND r.node = s.node)",
+        ]
+    out += [f"bag_l AS (SELECT tree, node, sum(w * y) / sum(w) AS leaf FROM bag_r{depth} WHERE w > 0 GROUP BY ALL)",
+            f"bag_v AS (SELECT key, avg(leaf) AS value FROM bag_r{depth} JOIN bag_l USING (tree, node) GROUP BY key)"]
+    return ",\n".join(out)

@@ -11,15 +11,14 @@ import math
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.scalars import date_features
-from tallyframe.operators import features
+from tallyframe.operators import features, nearest
 from tallyframe.operators.frame import numeric_columns, text_columns
 from tallyframe.operators.neighbors import donors, neighbor_means
+from tallyframe.plans import bagging
 from tallyframe.plans.moments import moments
 from tallyframe.plans.ols import polynomial, polynomial_state
 from tallyframe.session import State, materialize
@@ -170,46 +169,39 @@ def impute_mode(train, cols):
     return _fill(features.fit_mode(train, cols))
 
 
-def impute_bag(train, cols, by: list[str], trees: int = 25, depth: int = 6, seed: int = 7):
-    """Fill from bagged regression trees on other numeric columns."""
+def impute_bag(train, cols, by: list[str], keys: list[str], **options):
+    """Fill from bagged regression trees on other numeric columns, whose own NULLs read as
+    medians.  ``keys`` name a row for its bootstrap weights; options go to the fit."""
     medians = features.fit_median(train, by)
-    gather = VectorAssembler(inputCols=[f"__{c}" for c in by], outputCol="__x")
+    forests = {c: bagging.fit(train, c, by, keys, medians, **options) for c in cols}
+    xs = [F.coalesce(F.col(b).cast("double"), F.lit(medians[b])) for b in by]
+    return _replacing({c: F.coalesce(F.col(c).cast("double"), f.prediction(xs)) for c, f in forests.items()})
 
-    def ready(df):
-        return gather.transform(df.withColumns({
-            f"__{c}": F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in by
-        })).drop(*[f"__{c}" for c in by])
 
-    models = {}
-    for c in cols:
-        forest = RandomForestRegressor(
-            featuresCol="__x", labelCol="__t", predictionCol="__p", numTrees=trees, maxDepth=depth,
-            featureSubsetStrategy="all", seed=seed)
-        known = ready(train.where(F.col(c).isNotNull())).withColumn("__t", F.col(c).cast("double"))
-        models[c] = forest.fit(known.select("__x", "__t"))
-
-    def apply(df):
-        for c, model in models.items():
-            df = model.transform(ready(df)).withColumn(c, F.coalesce(F.col(c), F.col("__p"))).drop("__x", "__p")
-        return df
-
-    return apply
-
-
-def impute_knn(train, cols, by: str, neighbors: int = 5):
-    """Fill from the nearest training rows along one numeric predictor.
+def impute_knn(train, cols, by: str | list[str], neighbors: int = 5):
+    """Fill from the nearest training rows along one or several numeric predictors.
 
-    Rows whose predictor is NULL too stay NULL.
+    Several are compared by the sum of differences, each over its range in training.
+    Rows of which a predictor is NULL too stay NULL.
     """
-    known = {c: materialize(donors(train, c, by)) for c in cols}
+    by = [by] if isinstance(by, str) else list(by)
+    xs = [f"x{j}" for j in range(len(by))]
+    several = len(by) > 1
+    known = {c: nearest.Donors(train, c, by) if several else materialize(donors(train, c, by[0])) for c in cols}
 
     def apply(df):
         for c, donor in known.items():
-            x = F.col(by).cast("double")
-            asked = df.where(F.col(c).isNull() & x.isNotNull()).groupBy(x.alias("x")).agg(F.count("*").alias("rows"))
-            means = neighbor_means(donor, asked, neighbors).select(F.col("x").alias("__x"), "rows", "value")
-            out = State(means, ["__x"]).attach(df.withColumn("__x", x))
-            df = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col("value"))).drop("__x", "rows", "value")
+            points = df.where(F.col(c).isNull()).select(*[F.col(b).cast("double").alias(x) for b, x in zip(by, xs)])
+            if several:
+                points = points.where(nearest.known_point(xs)).distinct()
+                means = nearest.neighbor_means(donor, points, neighbors)
+            else:
+                points = points.where(F.col("x0").isNotNull()).groupBy(F.col("x0").alias("x")).agg(F.count("*").alias("rows"))
+                means = neighbor_means(donor, points, neighbors).select(F.col("x").alias("x0"), "value")
+            keys = [f"__{x}" for x in xs]
+            means = means.select(*[F.col(x).alias(k) for x, k in zip(xs, keys)], F.col("value").alias("__value"))
+            out = State(means, keys).attach(df.withColumns({k: F.col(b).cast("double") for k, b in zip(keys, by)}))
+            df = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col("__value"))).drop(*keys, "__value")
         return df
 
     return apply
