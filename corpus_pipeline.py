@@ -19,6 +19,9 @@ from tallyframe.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SITE = ["source", "lang"]
+# Fifty words of running text in bytes, short ones included (the tables' words take about
+# six and a half with their blank).
+PASSAGE = 270
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +44,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of passages of 400 bytes; n_chars follows the text.
+    """Texts without later copies of passages of about fifty words; n_chars follows the text.
     Documents of which nothing is left go."""
-    out = suffix.remove(docs, 400, keep="first")
+    out = suffix.remove(docs, PASSAGE, keep="first")
     out = out.where((F.length("text") > 0) | (F.col("n_removed") == 0))
     n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", n_chars).select(*COLUMNS)

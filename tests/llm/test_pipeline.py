@@ -1,5 +1,6 @@
 """The pipeline by stages, each against its own operator or a plain reading of it."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -41,7 +42,7 @@ def test_near_dedup_and_suffix_against_brute_force(stages):
     assert {r.doc_id for r in stages[2].collect()} == want
     rows = sorted((r.doc_id, r.text) for r in stages[2].collect())
     left = {r.doc_id: r for r in stages[3].collect()}
-    for (k, t), (n, gone, _, _) in zip(rows, brute([t for _, t in rows], 400, "first")):
+    for (k, t), (n, gone, _, _) in zip(rows, brute([t for _, t in rows], cp.PASSAGE, "first")):
         if gone < n:
             assert abs(len(left[k].text.encode()) - (n - gone)) <= 6 and left[k].n_chars == (len(left[k].text) if gone else len(t))
 
@@ -61,3 +62,17 @@ def test_run_and_edges(spark, tmp_path):
     spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "none" / "labels.parquet"))
     assert cp.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_passages_of_fifty_to_sixty_five_words_stay_once(spark):
+    rnd = random.Random(4)
+    text = lambda n: " ".join("".join(rnd.choice("aeiorstnl") for _ in range(rnd.randint(2, 9))) for _ in range(n))
+    passages = [text(n) for n in range(51, 66)]
+    rows = [(i, f"{text(80)} {p} {text(80)}", "en", "s", 0) for i, p in enumerate([*passages, *passages, *passages])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    left = [r.text for r in cp.suffix_dedup(spark, docs, "").orderBy("doc_id").collect()]
+    for i, p in enumerate(passages):
+        assert p in left[i]
+        for later in (left[15 + i], left[30 + i]):  # but for letters that the texts around share by chance
+            assert len(p) - 3 <= len(rows[i][1]) - len(later) + abs(len(rows[i][1]) - len(left[i])) or p[5:-5] not in later
+            assert p[3:-3] not in later
