@@ -7,7 +7,8 @@ A string of ``size`` bytes that occurs twice is found without comparing document
    of windows with one anchor is a *context*, about 560 bytes of text.
 2. Contexts are counted by (anchor, content).  Copies of one context need no text.
 3. Where an anchor has several different contexts, their texts (one copy each) meet in
-   one task, laid end to end in document order.  A suffix array over that block gives,
+   one task; those that share no side of the anchor with another one drop out, the rest
+   is laid end to end in document order.  A suffix array over that block gives,
    through previous and next smaller positions in suffix order, the longest previous
    factor of every position; larger positions give the longest later one.  A window is
    repeated where such a factor is ``size`` bytes or longer.
@@ -28,6 +29,7 @@ named like a result column are replaced; other columns pass through.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -231,16 +233,34 @@ _PAIRS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
 def repeated_starts(rows: DataFrame, size: int) -> DataFrame:
-    """rows (anchor, ctx, n, body), sorted by document within an anchor and whole anchors
-    in a partition: the runs of windows whose content starts before or after."""
+    """rows (anchor, ctx, n, shift, body), sorted by document within an anchor and whole
+    anchors in a partition: the runs of windows whose content starts before or after.
+
+    Equal windows lie alike about their anchor and reach ``side`` bytes beyond it on one
+    side at least.  A context that shares neither side with another one of its anchor
+    holds no repeat and needs no suffix array."""
+    side = (size - GRAM) // 2
+
+    def sides(row) -> list:
+        anchor, _, _, shift, body = row
+        view, digest = memoryview(body), xxhash.xxh3_64_intdigest
+        out = []
+        if shift >= side:
+            out.append((anchor, 0, digest(view[shift - side:shift + GRAM])))
+        if len(body) - shift - GRAM >= side:
+            out.append((anchor, 1, digest(view[shift:shift + GRAM + side])))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # rows of one block
         total = 0
 
         def work(part):
-            codes, ends, at = [], [], 0
-            for _, _, n, body in part:
+            each = [sides(r) for r in part]
+            shared = Counter(x for e in each for x in e)
+            part = [r for r, e in zip(part, each) if any(shared[x] > 1 for x in e)]
+            codes, ends, at = [np.zeros(0, np.int16)], [], 0
+            for _, _, n, _, body in part:
                 codes += [np.frombuffer(body, np.uint8).astype(np.int16) + 1, np.zeros(1, np.int16)]
                 ends.append((at, n))
                 at += len(body) + 1
@@ -251,7 +271,7 @@ def repeated_starts(rows: DataFrame, size: int) -> DataFrame:
                 pa.array([runs(after[s:s + n] > 0) for s, n in ends], _PAIRS)], names=["anchor", "ctx", "before", "after"])
 
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(4)]
+            cols = [batch.column(i).to_pylist() for i in range(5)]
             for row in zip(*cols):
                 if total >= BLOCK and row[0] != held[-1][0]:
                     yield work(held)
@@ -259,7 +279,7 @@ def repeated_starts(rows: DataFrame, size: int) -> DataFrame:
                 if held and row[:2] == held[-1][:2]:
                     continue  # a repeated row of the input
                 held.append(row)
-                total += len(row[3])
+                total += len(row[4])
         if held:
             yield work(held)
 
@@ -306,19 +326,19 @@ def spans(docs: DataFrame, size: int, keep: str, group: int) -> DataFrame:
     counted = materialize(prints.groupBy("anchor", "ctx", "n", "shift").agg(
         F.sum(F.size("los")).alias("total"), F.count("*").alias("docs"), F.min(rank).alias("rank")))
     several = counted.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    todo = counted.join(several, "anchor").select("anchor", "ctx", "n", "rank", "kinds")
+    todo = counted.join(several, "anchor").select("anchor", "ctx", "n", "shift", "rank", "kinds")
     # one copy of the text of each context that meets others
     by_doc = todo.groupBy(F.col("rank.k").alias("k"), F.col("rank.h").alias("h")).agg(
-        F.collect_list(F.struct("anchor", "ctx", "n", "kinds", F.col("rank.lo").alias("lo"))).alias("c"))
+        F.collect_list(F.struct("anchor", "ctx", "n", "shift", "kinds", F.col("rank.lo").alias("lo"))).alias("c"))
     text = docs.select(F.col("k").alias("k2"), F.col("h").alias("h2"), F.encode("text", "UTF-8").alias("data"))
     bodies = text.join(by_doc, F.col("k2").eqNullSafe(F.col("k")) & (F.col("h2") == F.col("h")))
     bodies = bodies.select("k", "h", "data", F.explode("c").alias("c")).select(
-        "c.anchor", "c.ctx", "c.n", "c.kinds", F.struct("k", "h", "c.lo").alias("rank"),
+        "c.anchor", "c.ctx", "c.n", "c.shift", "c.kinds", F.struct("k", "h", "c.lo").alias("rank"),
         F.expr(f"substring(data, c.lo + 1, c.n - 1 + {size})").alias("body"))
     crowded = (several.agg(F.max("kinds")).first()[0] or 0) > group
     bodies = materialize(bodies) if crowded else bodies
     few = bodies.where(F.col("kinds") <= group).repartition("anchor").sortWithinPartitions("anchor", "rank")
-    found = repeated_starts(few.select("anchor", "ctx", "n", "body"), size)
+    found = repeated_starts(few.select("anchor", "ctx", "n", "shift", "body"), size)
     if crowded:
         found = found.unionByName(repeated_windows(bodies.where(F.col("kinds") > group), size))
     found = materialize(found.where((F.size("before") > 0) | (F.size("after") > 0)))
@@ -401,6 +421,7 @@ def remove(docs: DataFrame, size: int = 400, keep: str = "first", key: str = "do
     docs = docs.withColumn(text, F.col(text).cast("string"))
     base = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
     found = spans(base.where("text IS NOT NULL"), size, keep, group)
+    found = found.select(F.col("k").alias("__k"), F.col("h").alias("__kh"), "spans")
     mine = docs.withColumn("__h", F.xxhash64(text))
-    out = mine.join(found, mine[key].eqNullSafe(found["k"]) & (mine["__h"] == found["h"]), "left")
+    out = mine.join(found, mine[key].eqNullSafe(found["__k"]) & (mine["__h"] == found["__kh"]), "left")
     return cut(out.select(*docs.columns, "spans"), text, whole_chars)
