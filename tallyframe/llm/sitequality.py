@@ -107,10 +107,10 @@ def fit(feats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "
 def _strength(sites: DataFrame, prior: Column) -> float:
     """Rows a parent's share is worth for sites of one level: from how much more their
     shares vary about the prior than chance would have it."""
-    w = sites.select("n", (F.col("good") / F.col("n")).alias("m"), prior.alias("p"))
-    got = w.agg(F.sum(F.col("n") * (F.col("m") - F.col("p")) ** 2).alias("q"), F.count("*").alias("k"),
-                F.sum(F.col("p") * (1 - F.col("p"))).alias("v"), F.sum("n").alias("n"),
-                F.sum(F.col("n") * F.col("p") * (1 - F.col("p"))).alias("nv")).first()
+    w = sites.select("__n", (F.col("__good") / F.col("__n")).alias("m"), prior.alias("p"))
+    got = w.agg(F.sum(F.col("__n") * (F.col("m") - F.col("p")) ** 2).alias("q"), F.count("*").alias("k"),
+                F.sum(F.col("p") * (1 - F.col("p"))).alias("v"), F.sum("__n").alias("n"),
+                F.sum(F.col("__n") * F.col("p") * (1 - F.col("p"))).alias("nv")).first()
     if not got.k or not got.nv:
         return 1e6
     between = (got.q - got.v) / got.n  # E[q] = sum of v + sum of n * between-variance
@@ -121,21 +121,21 @@ def _strength(sites: DataFrame, prior: Column) -> float:
 def site_table(scored: DataFrame, levels: list[str]) -> tuple[DataFrame, float]:
     """One row per finest site: its rows and good rows (soft), its parent's shrunk share
     and the strength of that prior; and the global share."""
-    cells = materialize(scored.groupBy(*levels).agg(F.count("*").cast("double").alias("n"), F.sum("p_text").alias("good")))
-    total = cells.agg(F.sum("n"), F.sum("good")).first()
+    cells = materialize(scored.groupBy(*levels).agg(F.count("*").cast("double").alias("__n"), F.sum("p_text").alias("__good")))
+    total = cells.agg(F.sum("__n"), F.sum("__good")).first()
     share = float(np.clip((total[1] or 0.0) / (total[0] or 1.0), 1e-3, 1 - 1e-3))
     parents = None
     for depth in range(1, len(levels) + 1):
         by = levels[:depth]
-        sites = cells.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+        sites = cells.groupBy(*by).agg(F.sum("__n").alias("__n"), F.sum("__good").alias("__good"))
         if parents is None:
-            sites = sites.withColumn("prior", F.lit(share))
+            sites = sites.withColumn("__prior", F.lit(share))
         else:
             sites = State(parents, by[:-1]).attach(sites)
-        strength = _strength(sites, F.col("prior"))
-        sites = sites.withColumn("strength", F.lit(strength))
-        post = (F.col("good") + strength * F.col("prior")) / (F.col("n") + strength)
-        parents = sites.select(*by, post.alias("prior"))
+        strength = _strength(sites, F.col("__prior"))
+        sites = sites.withColumn("__strength", F.lit(strength))
+        post = (F.col("__good") + strength * F.col("__prior")) / (F.col("__n") + strength)
+        parents = sites.select(*by, post.alias("__prior"))
     return sites, share
 
 
@@ -147,8 +147,8 @@ def classify(docs: DataFrame, model: Model, levels: list[str], text: str = "text
     own = [c for c in feats.columns if c not in FEATURES + RESULT]
     scored = feats.select(*own, (1 / (1 + F.exp(-model.log_odds()))).alias("p_text"))
     sites, share = site_table(scored, levels)
-    joined = State(sites.select(*levels, "n", "good", "prior", "strength"), levels).attach(scored)
-    left_out = (F.col("good") - F.col("p_text") + F.col("strength") * F.col("prior")) / (F.col("n") - 1 + F.col("strength"))
+    joined = State(sites.select(*levels, "__n", "__good", "__prior", "__strength"), levels).attach(scored)
+    left_out = (F.col("__good") - F.col("p_text") + F.col("__strength") * F.col("__prior")) / (F.col("__n") - 1 + F.col("__strength"))
     p_site = F.greatest(F.least(left_out, F.lit(1 - 1e-4)), F.lit(1e-4))
 
     def odds(p):
@@ -156,5 +156,5 @@ def classify(docs: DataFrame, model: Model, levels: list[str], text: str = "text
 
     z = odds(F.greatest(F.least(F.col("p_text"), F.lit(1 - 1e-6)), F.lit(1e-6))) + odds(F.col("p_site")) - float(np.log(share / (1 - share)))
     out = joined.withColumn("p_site", p_site).withColumn("p_good", 1 / (1 + F.exp(-z)))
-    return out.select(*own, "p_text", "p_site", "p_good", F.col("n").cast("long").alias("site_rows"),
+    return out.select(*own, "p_text", "p_site", "p_good", F.col("__n").cast("long").alias("site_rows"),
                       (F.col("p_good") >= keep_at).alias("kept"))
