@@ -244,9 +244,9 @@ def _(t):
     return out.withColumns({f"{c}_median": F.lit(q[c][0]) for c in ACROSS})
 
 
-def _hist_text_sql(c):
-    return f"""(WITH l AS (SELECT min({c})::DOUBLE AS lo, (max({c}) - min({c}))::DOUBLE / 8 AS w FROM orders),
- h AS (SELECT least(floor(({c} - lo) / w), 7)::BIGINT AS bin, count(*) AS n FROM orders, l GROUP BY 1)
+def _hist_text_sql(c, source="orders"):
+    return f"""(WITH l AS (SELECT min({c})::DOUBLE AS lo, (max({c})::DOUBLE - min({c})::DOUBLE) / 8 AS w FROM {source}),
+ h AS (SELECT least(floor(({c} - lo) / w), 7)::BIGINT AS bin, count(*) AS n FROM {source}, l WHERE {c} IS NOT NULL GROUP BY 1)
  SELECT string_agg(substring('▁▂▃▄▅▆▇█', 1 + least(7, floor(8.0::DOUBLE * coalesce(n, 0) / (SELECT max(n) FROM h)))::INT, 1), '' ORDER BY b)
  FROM range(8) r(b) LEFT JOIN h ON bin = b)"""
 
@@ -257,7 +257,7 @@ _SKIM_ORDERS = " UNION ALL ".join([f"""SELECT 'numeric' AS type, '{c}' AS variab
  round(quantile_cont({c}::DOUBLE, 0.75), 5) AS p75, max({c})::DOUBLE AS p100, {_hist_text_sql(c)} AS hist,
  NULL::BIGINT AS n_unique, NULL::VARCHAR AS top_counts FROM orders""" for c in ("o_totalprice", "o_custkey")] + [
     f"""SELECT 'character', '{c}', 0, 1.0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(DISTINCT {c}),
- (SELECT string_agg(left({c}, 3) || ': ' || n, ', ' ORDER BY n DESC, {c}) FROM
+ (SELECT string_agg({c} || ': ' || n, ', ' ORDER BY n DESC, {c}) FROM
  (SELECT {c}, count(*) AS n FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 4)) FROM orders""" for c in ("o_orderstatus", "o_orderpriority")])
 
 
@@ -269,24 +269,37 @@ def _(t):
 _SKIM_PART = " UNION ALL ".join(f"""SELECT 'numeric' AS type, '{c}' AS variable, count(*) FILTER ({c} IS NULL) AS n_missing,
  round(count({c})::DOUBLE / count(*), 6) AS complete_rate, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS sd,
  min({c})::DOUBLE AS p0, round(quantile_cont({c}::DOUBLE, 0.25), 6) AS p25, round(quantile_cont({c}::DOUBLE, 0.5), 6) AS p50,
- round(quantile_cont({c}::DOUBLE, 0.75), 6) AS p75, max({c})::DOUBLE AS p100, NULL::BIGINT AS n_unique, NULL::VARCHAR AS top_counts FROM part_na"""
+ round(quantile_cont({c}::DOUBLE, 0.75), 6) AS p75, max({c})::DOUBLE AS p100, {_hist_text_sql(c, "part_na")} AS hist, NULL::BIGINT AS n_unique, NULL::VARCHAR AS top_counts FROM part_na"""
                                 for c in ("price", "size")) + """
-UNION ALL SELECT 'character', 'type', count(*) FILTER (type IS NULL), round(count(type)::DOUBLE / count(*), 6), NULL, NULL, NULL, NULL, NULL, NULL, NULL,
- count(DISTINCT type), (SELECT string_agg(left(type, 3) || ': ' || n, ', ' ORDER BY n DESC, type) FROM
+UNION ALL SELECT 'character', 'type', count(*) FILTER (type IS NULL), round(count(type)::DOUBLE / count(*), 6), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+ count(DISTINCT type), (SELECT string_agg(type || ': ' || n, ', ' ORDER BY n DESC, type) FROM
  (SELECT type, count(*) AS n FROM part_na WHERE type IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 4)) FROM part_na"""
 
 
 @query("profile_skim_nulls", f"WITH {PART_NA} {_SKIM_PART}")
 def _(t):
-    return rnd(d.skim(part_na(t).select("price", "size", "type")).drop("hist"))
+    return rnd(d.skim(part_na(t).select("price", "size", "type")))
 
 
-@query("profile_skim_grouped", f"WITH {PART_NA} " + " UNION ALL ".join(
-    f"""SELECT type, '{c}' AS variable, count(*) FILTER ({c} IS NULL) AS n_missing, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS sd,
- min({c})::DOUBLE AS p0, max({c})::DOUBLE AS p100, round(quantile_cont({c}::DOUBLE, 0.5), 6) AS p50 FROM part_na GROUP BY 1"""
-    for c in ("price", "size")))
+def _skim_group_sql(c):
+    """A group's numeric row; bins as in the whole-table profile."""
+    return f"""SELECT g.type, 'numeric' AS kind, '{c}' AS variable, n_missing, round(known::DOUBLE / n, 6) AS complete_rate, round(mean, 6) AS mean,
+ round(sd, 6) AS sd, lo AS p0, round(q[1], 6) AS p25, round(q[2], 6) AS p50, round(q[3], 6) AS p75, hi AS p100,
+ array_to_string(list_transform(range(8), lambda b: substring('▁▂▃▄▅▆▇█', 1 + least(7, floor(8.0::DOUBLE
+  * len(list_filter(xs, lambda x: least(floor((x - lo) / w), 7) = b)) / greatest(list_max(list_transform(range(8), lambda d:
+  len(list_filter(xs, lambda x: least(floor((x - lo) / w), 7) = d)))), 1)))::INT, 1)), '') AS hist,
+ NULL::BIGINT AS n_unique, NULL::VARCHAR AS top_counts FROM (SELECT type, count(*) AS n, count({c}) AS known, count(*) - count({c}) AS n_missing, avg({c}) AS mean,
+ stddev_samp({c}) AS sd, min({c})::DOUBLE AS lo, max({c})::DOUBLE AS hi, CASE WHEN max({c}) > min({c}) THEN (max({c})::DOUBLE - min({c})::DOUBLE) / 8 ELSE 1 END AS w,
+ quantile_cont({c}::DOUBLE, [0.25, 0.5, 0.75]) AS q, list({c}::DOUBLE) FILTER ({c} IS NOT NULL) AS xs FROM part_na GROUP BY type) g"""
+
+
+@query("profile_skim_grouped", f"WITH {PART_NA} " + " UNION ALL ".join(map(_skim_group_sql, ("price", "size"))) + """
+UNION ALL SELECT type, 'character', 'p_brand', sum(c) FILTER (p_brand IS NULL), 1.0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(p_brand),
+ string_agg(p_brand || ': ' || c, ', ' ORDER BY c DESC, p_brand) FILTER (r <= 3) FROM (SELECT type, p_brand, count(*) AS c,
+ row_number() OVER (PARTITION BY type ORDER BY count(*) DESC, p_brand) AS r FROM part_na GROUP BY 1, 2) GROUP BY type""".replace(
+     "sum(c) FILTER (p_brand IS NULL)", "coalesce(sum(c) FILTER (p_brand IS NULL), 0)::BIGINT"))
 def _(t):
-    return rnd(d.grouped_profile(part_na(t), ["type"], ["price", "size"]))
+    return rnd(d.grouped_profile(part_na(t), ["type"], ["price", "size"], ["p_brand"], top=3))
 
 
 @query("grouped_stats", """SELECT p_brand, count(*) AS n, round(avg(p_retailprice), 6) AS price_mean, round(stddev_samp(p_retailprice), 6) AS price_sd,

@@ -73,19 +73,13 @@ def row_percent(table: DataFrame, levels: list[str], digits: int = 1) -> DataFra
 
 
 def five_number(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Long summary: one row per column with extremes, quartiles and mean."""
-    q = quantiles(df, cols, [0.0, 0.25, 0.5, 0.75, 1.0])
-    means = df.agg(*[F.avg(c).alias(c) for c in cols])
-    parts = F.array(*[
-        F.struct(
-            F.lit(c).alias("variable"), F.lit(q[c][0]).cast("double").alias("min"),
-            F.lit(q[c][1]).cast("double").alias("q1"), F.lit(q[c][2]).cast("double").alias("median"),
-            F.col(c).alias("mean"), F.lit(q[c][3]).cast("double").alias("q3"),
-            F.lit(q[c][4]).cast("double").alias("max"),
-        )
-        for c in cols
-    ])
-    return means.select(F.inline(parts))
+    """Long summary: one row per column with extremes, quartiles and mean; two scans."""
+    means: dict = {}
+    q = quantiles(df, cols, [0.0, 0.25, 0.5, 0.75, 1.0], means)
+    real = lambda x: None if x is None else float(x)
+    rows = [(c, *map(real, q[c][:3]), real(means[c]), *map(real, q[c][3:])) for c in cols]
+    return df.sparkSession.createDataFrame(
+        rows, "variable string, min double, q1 double, median double, mean double, q3 double, max double")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -107,11 +101,11 @@ def histogram_text(counts: list[int]) -> str:
     return "".join("▁▂▃▄▅▆▇█"[min(7, int(8 * c / top))] for c in counts)
 
 
-def skim(df: DataFrame, bins: int = 8) -> DataFrame:
+def skim(df: DataFrame, bins: int = 8, top: int = 4) -> DataFrame:
     """Profile of every column in long form.
 
     Numeric columns: missing, mean, sd, quartiles and a small histogram.  Text
-    columns: missing, distinct values, and the most frequent values.
+    columns: missing, distinct values, and the ``top`` most frequent values.
     """
     nums, texts = numeric_columns(df), text_columns(df)
     q = quantiles(df, nums, [0.0, 0.25, 0.5, 0.75, 1.0]) if nums else {}
@@ -119,7 +113,7 @@ def skim(df: DataFrame, bins: int = 8) -> DataFrame:
     for c in nums:
         lo, hi = q[c][0], q[c][4]
         width = ((hi - lo) / bins or 1.0) if lo is not None else 1.0
-        b = F.least(F.floor((F.col(c) - F.lit(lo or 0.0)) / width), F.lit(bins - 1))
+        b = F.when(F.col(c).isNotNull(), F.least(F.floor((F.col(c) - F.lit(lo or 0.0)) / width), F.lit(bins - 1)))
         aggs.append(F.struct(
             F.count_if(F.col(c).isNull()).alias("miss"), F.avg(c).alias("mean"),
             F.stddev_samp(c).alias("sd"),
@@ -128,7 +122,7 @@ def skim(df: DataFrame, bins: int = 8) -> DataFrame:
     for c in texts:
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"txt_{c}"))
     row = df.agg(*aggs).first()
-    top = _text_tops(df, texts) if texts else {}
+    tops = _text_tops(df, texts, top) if texts else {}
     n = row["n"]
     out = []
     for c in nums:
@@ -137,7 +131,7 @@ def skim(df: DataFrame, bins: int = 8) -> DataFrame:
                     *q[c], histogram_text(s["hist"]), None, None))
     for c in texts:
         miss = row[f"txt_{c}"]
-        uniq, names = top.get(c, (0, None))
+        uniq, names = tops.get(c, (0, None))
         out.append(("character", c, miss, (n - miss) / n if n else None, None, None,
                     None, None, None, None, None, None, uniq, names))
     return df.sparkSession.createDataFrame(out, (
@@ -147,7 +141,7 @@ def skim(df: DataFrame, bins: int = 8) -> DataFrame:
     ))
 
 
-def _text_tops(df: DataFrame, texts: list[str], k: int = 4) -> dict:
+def _text_tops(df: DataFrame, texts: list[str], k: int) -> dict:
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("variable"), F.col(c).alias("value")) for c in texts
     ])).alias("e")).select("e.*").where(F.col("value").isNotNull())
@@ -158,22 +152,52 @@ def _text_tops(df: DataFrame, texts: list[str], k: int = 4) -> dict:
     out = {}
     for c in texts:
         mine = sorted((r for r in tops if r["variable"] == c), key=lambda r: r["r"])
-        out[c] = (uniq.get(c, 0), ", ".join(f"{r['value'][:3]}: {r['n']}" for r in mine))
+        out[c] = (uniq.get(c, 0), ", ".join(f"{r['value']}: {r['n']}" for r in mine))
     return out
 
 
-def grouped_profile(df: DataFrame, by: list[str], cols: list[str]) -> DataFrame:
-    """(group, variable) → missing, mean, sd, min, median, max."""
-    long = df.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in cols
-    ])).alias("e")).select(*by, "e.*")
-    keys = [*by, "variable"]
-    stats = long.groupBy(*keys).agg(
-        F.count_if(F.col("value").isNull()).alias("n_missing"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("sd"), F.min("value").alias("p0"), F.max("value").alias("p100"),
-    )
-    med = grouped_quantiles(long, keys, "value", [0.5], ["p50"])
-    return State(med, keys).attach(stats)
+def grouped_profile(df: DataFrame, by: list[str], nums: list[str], texts: list[str] = (), bins: int = 8, top: int = 4) -> DataFrame:
+    """The same profile for each group: one row per group and column.
+
+    ``kind`` tells numeric from character columns; groups may be of any size.
+    """
+    keys, out = [*by, "variable"], None
+    if nums:
+        long = df.select(*by, F.explode(F.array(*[
+            F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in nums
+        ])).alias("e")).select(*by, "e.*")
+        stats = long.groupBy(*keys).agg(
+            F.count("*").alias("n"), F.count_if(F.col("value").isNull()).alias("n_missing"), F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("sd"), F.min("value").alias("p0"), F.max("value").alias("p100"))
+        stats = State(stats, keys)
+        width = F.when(F.col("p100") > F.col("p0"), (F.col("p100") - F.col("p0")) / bins).otherwise(F.lit(1.0))
+        bin_ = F.when(F.col("value").isNotNull(), F.least(F.floor((F.col("value") - F.col("p0")) / width), F.lit(bins - 1)))
+        hist = stats.attach(long).groupBy(*keys).agg(F.array(*[F.count_if(bin_ == b) for b in range(bins)]).alias("counts"))
+        most = F.greatest(F.array_max("counts"), F.lit(1))
+        bars = F.transform("counts", lambda c: F.substring(F.lit("▁▂▃▄▅▆▇█"), F.least(F.floor(c * 8.0 / most), F.lit(7)).cast("int") + 1, F.lit(1)))
+        mid = grouped_quantiles(long, keys, "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+        got = State(hist.select(*keys, F.array_join(bars, "").alias("hist")), keys).attach(State(mid, keys).attach(stats.df))
+        out = got.select(
+            *by, F.lit("numeric").alias("kind"), "variable", "n_missing", ((F.col("n") - F.col("n_missing")) / F.col("n")).alias("complete_rate"),
+            "mean", "sd", "p0", "p25", "p50", "p75", "p100", "hist", F.lit(None).cast("long").alias("n_unique"), F.lit(None).cast("string").alias("top_counts"))
+    if texts:
+        long = df.select(*by, F.explode(F.array(*[
+            F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("value")) for c in texts
+        ])).alias("e")).select(*by, "e.*")
+        counts = long.groupBy(*keys, "value").agg(F.count("*").alias("c"))
+        known = F.col("value").isNotNull()
+        stats = counts.groupBy(*keys).agg(
+            F.sum("c").alias("n"), F.sum(F.when(known, 0).otherwise(F.col("c"))).alias("n_missing"), F.count("value").alias("n_unique"))
+        w = Window.partitionBy(*keys).orderBy(F.desc("c"), "value")
+        tops = counts.where(known).withColumn("r", F.row_number().over(w)).where(F.col("r") <= top)
+        tops = tops.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("r", F.concat_ws(": ", "value", F.col("c").cast("string")).alias("t")))).alias("ts"))
+        tops = tops.select(*keys, F.array_join(F.col("ts.t"), ", ").alias("top_counts"))
+        none = [F.lit(None).cast("double").alias(c) for c in ("mean", "sd", "p0", "p25", "p50", "p75", "p100")]
+        got = State(tops, keys).attach(stats).select(
+            *by, F.lit("character").alias("kind"), "variable", "n_missing", ((F.col("n") - F.col("n_missing")) / F.col("n")).alias("complete_rate"),
+            *none, F.lit(None).cast("string").alias("hist"), "n_unique", "top_counts")
+        out = got if out is None else out.unionByName(got)
+    return out
 
 
 def outlier_fences(df: DataFrame, cols: list[str], mult: float = 1.5) -> dict[str, tuple[float, float]]:

@@ -16,6 +16,7 @@ def tight(monkeypatch):
     monkeypatch.setattr(quantiles, "ACCURACY", 200)
     monkeypatch.setattr(quantiles, "MARGIN", 2.5 / 200)
     monkeypatch.setattr(quantiles, "INSIDE_LIMIT", 50)
+    monkeypatch.setattr(quantiles, "RANKED", 20)
 
 
 def skewed(spark, n=6000):
@@ -58,6 +59,27 @@ def test_grouped_quantiles_with_hot_and_null_group(spark, tight):
         assert np.allclose(list(got[g])[1:], np.quantile(vals, [0.25, 0.5, 0.9]), rtol=1e-12)
 
 
+def test_a_large_group_is_ranked_in_small_runs(spark, monkeypatch):
+    """A million distinct values in one group: brackets hold few of them in the end."""
+    monkeypatch.setattr(quantiles, "RANKED", 500)
+    df = spark.range(1_000_000).select(F.when(F.col("id") % 50 == 0, F.col("id") % 7).otherwise(-1).alias("g"),
+                                       (F.pmod(F.col("id") * 7919, F.lit(1_000_003)) / 3.0).alias("x"))
+    df = df.union(spark.range(40).select(F.lit(99).alias("g"), F.lit(None).cast("double").alias("x")))
+    probs = [0.0, 0.25, 0.5, 0.99]
+    state = quantiles.group_brackets(df, ["g"], "x", probs)
+    for r in state.df.collect():
+        if r["__n"] > quantiles.WHOLE:
+            for j in range(len(probs)):
+                held = df.where((F.col("g") == r["g"]) & F.col("x").between(r[f"__lo{j}"], r[f"__hi{j}"])).count()
+                assert 1 <= held <= 2 * 500, (r["g"], j, held)
+    got = {r.g: list(r)[1:] for r in quantiles.grouped_quantiles(df, ["g"], "x", probs, list("abcd"), count="n").collect()}
+    local = df.toPandas()
+    for g, part in local.groupby("g"):
+        known = part["x"].dropna().to_numpy()
+        assert got[g][0] == len(known)
+        assert got[g][1:] == [None] * 4 if not len(known) else np.allclose(got[g][1:], np.quantile(known, probs), rtol=1e-12)
+
+
 def test_quantiles_of_nothing(spark):
     empty = spark.createDataFrame([], "x double, y double")
     assert quantiles.quantiles(empty, ["x"], [0.5]) == {"x": [None]}
