@@ -8,14 +8,13 @@ from tallyframe.catalog.models import (
     LADDER, REST, SPLIT, TRAIN, TRAINED, XS, cv_frame, full_fit, half_sql, moment_state, tidy_sql, train_test,
 )
 from tallyframe.catalog.registry import REG, TRAIN_SQL, query, reg, rnd
-from tallyframe.catalog.sqlkit import hat, pred, sweep
+from tallyframe.catalog.sqlkit import bucket, hat, key_hash, pred, sweep
 from tallyframe.operators import frame as fr
 from tallyframe.operators.features import band_by_edges, quantile_edges
 from tallyframe.operators.ordering import adjacent_sums, row_numbers
 from tallyframe.plans import evaluate as ev
 from tallyframe.plans import ols
 from tallyframe.plans.moments import moments
-from tallyframe.session import materialize
 
 P = pred(XS)
 E = f"(charge - {P})"
@@ -31,12 +30,16 @@ def _(t):
 
 
 _KEYS = ", ".join([*SPLIT, *REST])
-STRATA = f"""{REG}, qs AS (SELECT quantile_cont(charge, [0.25, 0.5, 0.75]) AS e FROM reg),
-banded AS (SELECT reg.*, CASE WHEN charge <= e[1] THEN 1 WHEN charge <= e[2] THEN 2 WHEN charge <= e[3] THEN 3 ELSE 4 END AS stratum,
- (l_orderkey * 7919 + l_linenumber * 104729) % 1000 AS h FROM reg, qs),
+def _strata(source):
+    return f"""qs AS (SELECT quantile_cont(charge, [0.25, 0.5, 0.75]) AS e FROM {source}),
+banded AS (SELECT r.*, CASE WHEN charge <= e[1] THEN 1 WHEN charge <= e[2] THEN 2 WHEN charge <= e[3] THEN 3 ELSE 4 END AS stratum,
+ {key_hash(SPLIT)} AS h FROM {source} r, qs),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY h, {_KEYS}) AS rank, count(*) OVER (PARTITION BY stratum) AS size FROM banded)"""
 
 
+STRATA = f"{REG}, {_strata('reg')}"
+
+
 @query("stratified_split", f"WITH {STRATA} SELECT l_orderkey, l_linenumber, l_partkey, stratum, CASE WHEN rank <= floor(size * 0.8) THEN 'train' ELSE 'test' END AS part FROM ranked")
 def _(t):
     out = ev.stratified_split(reg(t), "charge", SPLIT, [*SPLIT, *REST])
@@ -134,11 +137,12 @@ def _(t):
     return rnd(fr.summarise_across(cv_frame(t), ["rmse", "mae", "r2"], {"mean": F.avg, "sd": F.stddev_samp}))
 
 
-@query("kfold_cv_stratified", f"""WITH {STRATA}, {_cv_sql('ranked', '(rank - 1) % 10')}, long AS (SELECT metric, value FROM per UNPIVOT (value FOR metric IN (rmse, mae, rsq)))
+@query("kfold_cv_stratified", f"""WITH {REG}, {TRAIN}, {_strata('train')},
+{_cv_sql('ranked', 'len(list_filter(range(1, 10), lambda j: rank > floor(size * j / 10.0 + 1e-9)))')}, long AS (SELECT metric, value FROM per UNPIVOT (value FOR metric IN (rmse, mae, rsq)))
 SELECT metric, round(avg(value), 6) AS mean, count(*) AS n, round(stddev_samp(value) / sqrt(count(*)), 6) AS std_err FROM long GROUP BY 1""")
 def _(t):
-    ranked = ev.stratified_ranks(reg(t), "charge", SPLIT, [*SPLIT, *REST])
-    folded = materialize(ranked.select("charge", *XS, ((F.col("rank") - 1) % 10).alias("fold")))
+    train, _test = train_test(t)
+    folded = ev.stratified_folds(train, "charge", SPLIT, [*SPLIT, *REST]).select("charge", *XS, "fold")
     folds = ev.k_fold(folded, F.col("charge"), ols.numeric(*XS), F.col("fold"))
     return rnd(ev.collect_metrics(folds, ["rmse", "mae", "rsq"]))
 
@@ -195,18 +199,18 @@ def _(t):
                                     F.avg(F.col("pi_high") - F.col("pi_low")).alias("mean_width")))
 
 
-@query("pi_sample", f"""WITH {PI}, s AS (SELECT * FROM pi ORDER BY (l_orderkey * 7919 + l_linenumber * 104729) % 1000003, {_KEYS} LIMIT 30)
+@query("pi_sample", f"""WITH {PI}, s AS (SELECT * FROM pi ORDER BY {key_hash(SPLIT)}, {_KEYS} LIMIT 30)
 SELECT row_number() OVER (ORDER BY pred, {_KEYS}) AS obs, round(charge, 6) AS charge, round(pred, 6) AS pred, round(pi_low, 6) AS pi_low,
  round(pi_high, 6) AS pi_high, charge BETWEEN pi_low AND pi_high AS in_interval FROM s""")
 def _(t):
-    picked = fr.sample_n(with_interval(t), 30, ev.bucket(SPLIT, 1_000_003), [*SPLIT, *REST])
+    picked = fr.sample_n(with_interval(t), 30, ev.key_hash(SPLIT), [*SPLIT, *REST])
     return rnd(row_numbers(picked, ["pred", *SPLIT, *REST]).select("obs", "charge", "pred", "pi_low", "pi_high", "in_interval"))
 
 
 # ── learning curve and report ────────────────────────────────────────────────
 
 REPS, PARTS, HOLD = 5, 20, 4
-_LC_BUCKET = f"(((r.rep * 7368787 + l_orderkey * 7919 + l_linenumber * 104729) % 1000003) * (2 * r.rep + 1)) % {PARTS}"
+_LC_BUCKET = bucket(SPLIT, PARTS, "r.rep")
 
 
 @query("learning_curve", f"""WITH {REG}, rb AS (SELECT r.rep, {_LC_BUCKET} AS b, charge, price, disc, tax FROM reg, range({REPS}) r(rep)),

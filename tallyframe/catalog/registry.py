@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.catalog.sqlkit import bucket
 from tallyframe.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,4 +107,4 @@ REG = """reg AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipda
   l_extendedprice / 1000 * (1 - l_discount) * (1 + l_tax) AS charge, l_extendedprice / 1000 AS price,
   l_discount * 100 AS disc, l_tax * 100 AS tax, l_quantity AS qty FROM lineitem)"""
 
-TRAIN_SQL = "((l_orderkey * 7919 + l_linenumber * 104729) % 10)"
+TRAIN_SQL = bucket(["l_orderkey", "l_linenumber"], 10)

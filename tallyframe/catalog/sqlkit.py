@@ -120,3 +120,13 @@ def bagged_trees(rows: str, target: str, xs: list[str], key: str, trees: int, de
     out += [f"bag_l AS (SELECT tree, node, sum(w * y) / sum(w) AS leaf FROM bag_r{depth} WHERE w > 0 GROUP BY ALL)",
             f"bag_v AS (SELECT key, avg(leaf) AS value FROM bag_r{depth} JOIN bag_l USING (tree, node) GROUP BY key)"]
     return ",\n".join(out)
+
+
+def key_hash(keys: list[str], salt: str = "0") -> str:
+    """The 52-bit key hash that splits, folds and samples go by."""
+    shown = ", ".join(f"coalesce(length({k}::VARCHAR)::VARCHAR || ':' || {k}::VARCHAR, '-')" for k in keys)
+    return f"('0x' || substr(md5(concat_ws('|', {salt}, {shown})), 1, 13))::BIGINT"
+
+
+def bucket(keys: list[str], n: int, salt: str = "0") -> str:
+    return f"({key_hash(keys, salt)} % {n})"

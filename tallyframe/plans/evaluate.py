@@ -5,51 +5,138 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyframe.operators.features import band_by_edges
-from tallyframe.operators.ordering import row_numbers
 from tallyframe.operators.quantiles import quantiles
 from tallyframe.plans.moments import Moments, grouped_moments, total
 from tallyframe.plans.ols import Y, Fit, solve
 
 
+HASH_BITS = 52
+BIN_BITS = 12
+# Rows of one bin of one stratum whose hashes may be listed on the driver.
+LISTED = 20_000
+
+
+def key_hash(keys: list[str], salt: int = 0) -> Column:
+    """A 52-bit number from keys of any type: the first digits of an md5 over their texts,
+    each with its length before it, so that no two lists of keys read alike.  NULL is a
+    value of its own.  Equal on any partitioning and in any engine that has md5."""
+    def shown(k: str) -> Column:
+        text = F.col(f"`{k}`").cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(salt)), *map(shown, keys))), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
 def bucket(keys: list[str], n: int, salt: int = 0) -> Column:
-    """Repeatable bucket 0..n-1 of integer keys, equal on any partitioning.  Each key is
-    reduced first, so large ones do not overflow."""
-    mix = [7919, 104729]
-    while len(mix) < len(keys):
-        mix.append((mix[-1] * 7919 + 12_345) % 1_000_003 | 1)
-    out = F.lit(salt % n).cast("long")
-    for k, prime in zip(keys, mix):
-        out = out + F.pmod(F.col(k).cast("long"), F.lit(n).cast("long")) * (prime % n)
-    return F.pmod(out, F.lit(n).cast("long"))
+    """Repeatable bucket 0..n-1 of keys."""
+    return F.pmod(key_hash(keys, salt), F.lit(n).cast("long"))
 
 
 def split(df: DataFrame, keys: list[str], share: float = 0.8, parts: int = 10) -> tuple[DataFrame, DataFrame]:
-    """Disjoint train and test rows."""
+    """Disjoint train and test rows; every row is in one of them."""
     b = bucket(keys, parts)
     cut = round(share * parts)
     return df.where(b < cut), df.where(b >= cut)
 
 
-def stratified_ranks(df: DataFrame, strata: str, keys: list[str], tie: list[str], parts: int = 1000) -> DataFrame:
-    """Rank of each row within its quartile band of ``strata``, in hash order."""
-    edges = quantiles(df, [strata], [0.0, 0.25, 0.5, 0.75, 1.0])[strata]
-    banded = df.withColumn("stratum", band_by_edges(F.col(strata), edges, [1, 2, 3, 4]))
-    banded = banded.withColumn("__h", bucket(keys, parts))
-    return row_numbers(banded, ["__h", *tie], name="rank", by=["stratum"]).drop("__h")
+def hash_cuts(rows: DataFrame, shares: list[float]) -> dict:
+    """For each stratum of rows (__stratum, __h) and each share of its rows the cut
+    (hash, rows with that hash before the cut, rows with that hash).
+
+    Counts by (stratum, first bits) find the bin where a share is reached, and only such
+    bins are counted by further bits; no row is sorted or fetched.
+    """
+    local: dict = {}  # (stratum, cut) -> [prefix, rows before it, rows in it, rank]
+    shift, found = HASH_BITS, {}
+    while shift:
+        largest = max((x[2] for x in local.values()), default=None)
+        new = 0 if largest is not None and largest <= LISTED else max(shift - BIN_BITS, 0)
+        part = rows
+        if local:
+            seen = sorted({(s, x[0]) for (s, _), x in local.items()}, key=str)
+            table = rows.sparkSession.createDataFrame(seen, rows.select(F.col("__stratum").alias("__s"), F.col("__h").alias("__p")).schema)
+            part = rows.join(F.broadcast(table), F.col("__stratum").eqNullSafe(F.col("__s")) & (F.shiftright("__h", shift) == F.col("__p")))
+        got = part.groupBy("__stratum", F.shiftright("__h", new).alias("b")).agg(F.count("*").alias("n")).collect()
+        bins: dict = {}
+        for r in got:
+            bins.setdefault(r["__stratum"], []).append((r.b, r.n))
+        if not local:
+            for s, cells in bins.items():
+                n = sum(x[1] for x in cells)
+                for j, share in enumerate(shares):
+                    local[s, j] = [0, 0, n, math.floor(n * share + 1e-9)]
+        for (s, j), x in list(local.items()):
+            prefix, before, _, rank = x
+            if rank == 0:  # nothing lies before this cut
+                found[s, j] = (-1, 0, 0)
+                del local[s, j]
+                continue
+            for b, n in sorted(c for c in bins[s] if c[0] >> (shift - new) == prefix):
+                if before + n >= rank:
+                    local[s, j] = [b, before, n, rank]
+                    break
+                before += n
+        shift = new
+        if not local:
+            break
+    found.update({k: (x[0], x[3] - x[1], x[2]) for k, x in local.items()})
+    return found
+
+
+def cut_by_hash(df: DataFrame, stratum: Column, keys: list[str], tie: list[str], shares: list[float], name: str) -> DataFrame:
+    """df with the part 0..len(shares) of each row: the shares cut each stratum's rows in
+    the order of their key's hash, at floor(share · rows).  Strata (NULL is one) are few.
+
+    A row's part follows from its hash alone; only rows that share the very hash at which
+    a cut falls, as rows with equal keys do, are ranked, by ``tie``.
+    """
+    rows = df.withColumn("__stratum", stratum).withColumn("__h", key_hash(keys))
+    cuts = hash_cuts(rows.select("__stratum", "__h"), shares)
+    strata = sorted({s for s, _ in cuts}, key=str)
+
+    def part(s, rank: Column | None) -> Column:
+        out = F.lit(0)
+        for j in range(len(shares)):
+            h, q, n = cuts[s, j]
+            after = F.col("__h") > h
+            if rank is not None and q < n:
+                after = after | ((F.col("__h") == h) & (rank > q))
+            out = out + after.cast("int")
+        return out
+
+    def parts(frame: DataFrame, rank: Column | None) -> DataFrame:
+        out = F
+        for s in strata:
+            out = out.when(F.col("__stratum").eqNullSafe(F.lit(s)), part(s, rank))
+        return frame.withColumn(name, out if strata else F.lit(0)).drop("__stratum", "__h", "__rank")
+
+    torn = sorted({h for h, q, n in cuts.values() if q < n})
+    if not torn:
+        return parts(rows, None)
+    w = Window.partitionBy("__stratum", "__h").orderBy(*tie)
+    edge = rows.where(F.col("__h").isin(*torn)).withColumn("__rank", F.row_number().over(w))
+    return parts(rows.where(~F.col("__h").isin(*torn)), None).unionByName(parts(edge, F.col("__rank")))
+
+
+def quartile_band(df: DataFrame, col: str) -> Column:
+    """1..4 by the quartiles of a column; NULL for unknown values."""
+    return band_by_edges(F.col(col), quantiles(df, [col], [0.0, 0.25, 0.5, 0.75, 1.0])[col], [1, 2, 3, 4])
 
 
 def stratified_split(df: DataFrame, strata: str, keys: list[str], tie: list[str], share: float = 0.8) -> DataFrame:
     """Label rows train or test so each quartile band gives floor(share·n) train rows."""
-    ranked = stratified_ranks(df, strata, keys, tie)
-    sizes = dict(ranked.groupBy("stratum").count().collect())
-    cut = F
-    for band in sorted(k for k in sizes if k is not None):
-        cut = cut.when(F.col("stratum") == band, F.lit(math.floor(sizes[band] * share + 1e-9)))
-    return ranked.withColumn("part", F.when(F.col("rank") <= cut.otherwise(0), "train").otherwise("test"))
+    df = df.withColumn("stratum", quartile_band(df, strata))
+    out = cut_by_hash(df, F.col("stratum"), keys, tie, [share], "__part")
+    return out.withColumn("part", F.when(F.col("__part") == 0, "train").otherwise("test")).drop("__part")
+
+
+def stratified_folds(df: DataFrame, strata: str, keys: list[str], tie: list[str], folds: int = 10) -> DataFrame:
+    """df with ``fold`` 0..folds-1, equal parts of each quartile band."""
+    return cut_by_hash(df, quartile_band(df, strata), keys, tie, [j / folds for j in range(1, folds)], "fold")
 
 
 # ── error measures ───────────────────────────────────────────────────────────
@@ -157,10 +244,7 @@ def learning_curve(spark: SparkSession, df: DataFrame, y: Column, terms: dict[st
     growing prefixes of the others train.  Moments per (repeat, bucket) come from
     one job, prefix sums give every size, and both errors follow from moments.
     """
-    rep_bucket = F.explode(F.array(*[
-        (F.lit(r * parts) + F.pmod(bucket(keys, 1_000_003, salt=r * 7_368_787) * (2 * r + 1), F.lit(parts)))
-        for r in range(reps)
-    ]))
+    rep_bucket = F.explode(F.array(*[F.lit(r * parts) + bucket(keys, parts, salt=r) for r in range(reps)]))
     rows = df.withColumn("__rb", rep_bucket)
     got = grouped_moments(rows, {**terms, Y: y.cast("double")}, F.col("__rb"))
     out = []

@@ -152,7 +152,7 @@ def test_learning_curve_errors_are_real(spark, frame):
     df, _x, _y = frame
     lc = ev.learning_curve(spark, df.withColumn("z", F.lit(1)), F.col("y"), ols.numeric(*TERMS), ["id", "z"], reps=2)
     last = lc.where("rep = 1").orderBy(F.desc("fraction")).first()
-    b = F.pmod(ev.bucket(["id", "z"], 1_000_003, salt=0), F.lit(20))
+    b = ev.bucket(["id", "z"], 20)
     train, hold = df.withColumn("z", F.lit(1)).where(b < 16), df.withColumn("z", F.lit(1)).where(b >= 16)
     f = ols.fit(train, "y", ols.numeric(*TERMS))
     e = F.col("y") - f.prediction()
@@ -169,6 +169,42 @@ def test_split_is_disjoint_and_stable(frame):
     assert {r["id"] for r in ev.split(df.repartition(11), ["id"])[0].collect()} == ids[0]
 
 
+def test_splits_take_null_text_and_many_keys(spark):
+    rows = [(i, f"k{i % 50}" if i % 4 else None, i % 3) for i in range(2000)] + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "a long, b string, c long")
+    for keys in (["a"], ["b", "a"], ["c", "b", "a"], ["b", "c"]):
+        train, test = ev.split(df, keys)
+        assert train.count() + test.count() == len(rows)
+        assert train.count() > 0 and test.count() > 0
+    share = ev.split(df, ["a"])[0].count() / len(rows)
+    assert 0.77 < share < 0.83
+    pairs = spark.createDataFrame([("1|2", "3"), ("1", "2|3"), ("12", "3"), ("1", "23"), (None, "123"), ("123", None)], "a string, b string")
+    assert pairs.select(ev.key_hash(["a", "b"])).distinct().count() == 6
+
+
+@pytest.mark.parametrize("listed", [20_000, 30])
+def test_hash_cuts_are_exact_with_equal_keys_and_null_stratum(spark, monkeypatch, listed):
+    """Every part of every stratum has its exact size, and rows of one key keep together but
+    for those at a cut."""
+    monkeypatch.setattr(ev, "LISTED", listed)
+    rows = [(i if i % 3 else 7, i, None if i % 5 == 0 else i % 2) for i in range(3000)]  # a third of the rows has one key
+    df = spark.createDataFrame(rows, "k long, t long, s int").repartition(5)
+    shares = [0.0, 0.1, 0.35, 0.8]
+    out = ev.cut_by_hash(df, F.col("s"), ["k"], ["t"], shares, "part")
+    assert out.columns == ["k", "t", "s", "part"]
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.s, []).append((r.part, r.k, r.t))
+    hashes = {r.k: r.h for r in df.select("k", ev.key_hash(["k"]).alias("h")).distinct().collect()}
+    for s, some in got.items():
+        n = len(some)
+        cuts = [math.floor(n * x + 1e-9) for x in shares]
+        want = sorted(some, key=lambda r: (hashes[r[1]], r[2]))
+        assert [r[0] for r in want] == [sum(i >= c for c in cuts) for i in range(n)]
+    assert sum(map(len, got.values())) == 3000
+    assert ev.cut_by_hash(df.limit(0), F.col("s"), ["k"], ["t"], shares, "part").count() == 0
+
+
 def test_stratified_split_takes_exact_share(frame):
     df, _x, _y = frame
     out = ev.stratified_split(df, "y", ["id"], ["id"]).groupBy("stratum").pivot("part", ["train", "test"]).count()
