@@ -7,15 +7,14 @@ state.  Steps see the training frame as the earlier steps left it.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.scalars import date_features
-from tallyframe.operators import features, nearest
+from tallyframe.operators import features, frequent, nearest
 from tallyframe.operators.frame import numeric_columns, text_columns
 from tallyframe.operators.neighbors import donors, neighbor_means
 from tallyframe.plans import bagging
@@ -99,20 +98,7 @@ def zv(train, cols):
 
 def nzv(train, cols, freq_cut: float = 95 / 5, unique_cut: float = 10.0):
     """Drop columns dominated by one value and with few distinct values."""
-    long = train.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols
-    ])).alias("e")).select("e.c", "e.v").where(F.col("v").isNotNull())
-    counts = long.groupBy("c", "v").agg(F.count("*").alias("n"))
-    totals = counts.groupBy("c").agg(F.count("*").alias("u"), F.sum("n").alias("n")).collect()
-    w = Window.partitionBy("c").orderBy(F.desc("n"), "v")
-    tops = counts.withColumn("r", F.row_number().over(w)).where(F.col("r") <= 2).collect()
-    gone = []
-    for t in totals:
-        two = sorted((r["n"] for r in tops if r["c"] == t["c"]), reverse=True)
-        ratio = two[0] / two[1] if len(two) > 1 else math.inf
-        if ratio > freq_cut and 100.0 * t["u"] / t["n"] < unique_cut:
-            gone.append(t["c"])
-    return _dropping(gone)
+    return _dropping(frequent.near_zero_variance(train, cols, freq_cut, unique_cut))
 
 
 def corr(train, cols, threshold: float = 0.9):
