@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyframe.catalog.describe import skew_sql
 from tallyframe.catalog.models import AUG, XS, full_fit
 from tallyframe.catalog.registry import REG, SHIP, query, reg, rnd, rnd_rows, ship
-from tallyframe.catalog.sqlkit import f_tail, t_tail
+from tallyframe.catalog.sqlkit import f_tail, t_crit, t_tail
 from tallyframe.functions import scalars as S
 from tallyframe.operators import associate as assoc
 from tallyframe.operators import chartdata as ch
@@ -147,6 +147,28 @@ def _(t):
     return rnd(ch.linear_trends(reg(t), ["l_returnflag", "l_linestatus"], "price", "charge"), 8, intercept=6)
 
 
+def _band_sql(keys, points):
+    """The band from the textbook formula; all groups are large, so the quantile's expansion
+    around the normal one serves."""
+    k = "".join(f"{c}, " for c in keys)
+    return f"""WITH {REG}, g AS (SELECT {k}count(*) AS n, min(price) AS lo, max(price) AS hi, avg(price) AS mx, avg(charge) AS my,
+ var_pop(price) * count(*) AS sxx, var_pop(charge) * count(*) AS syy, covar_pop(charge, price) * count(*) AS sxy FROM reg {"GROUP BY " + k[:-2] if k else ""}),
+s AS (SELECT *, sxy / sxx AS b, sqrt((syy - sxy * sxy / sxx) / (n - 2)) AS sigma, {t_crit("(n - 2)")} AS t FROM g),
+p AS (SELECT *, lo + i * (hi - lo) / {points - 1} AS x FROM s, range({points}) r(i)),
+h AS (SELECT *, my + b * (x - mx) AS fit, t * sigma * sqrt(1.0::DOUBLE / n + pow(x - mx, 2) / sxx) AS half FROM p)
+SELECT {k}round(x, 6) AS x, round(fit, 6) AS fit, round(fit - half, 6) AS lower, round(fit + half, 6) AS upper FROM h"""
+
+
+@query("trend_band", _band_sql([], 80))
+def _(t):
+    return rnd(ch.trend_band(reg(t), [], "price", "charge"))
+
+
+@query("trend_band_grouped", _band_sql(["l_returnflag", "l_linestatus"], 20))
+def _(t):
+    return rnd(ch.trend_band(reg(t), ["l_returnflag", "l_linestatus"], "price", "charge", points=20))
+
+
 _CUTS = [k / 20 for k in range(1, 20)]
 
 
@@ -160,7 +182,8 @@ _QQ_P = [(i + 1) / 100 for i in range(99)]
 _QQ_Z = [NormalDist().inv_cdf(p) for p in _QQ_P]
 
 
-@query("qq_points", f"""WITH {AUG} SELECT unnest({_QQ_P})::DOUBLE AS p, round(unnest({_QQ_Z})::DOUBLE, 6) AS theoretical, round(unnest(quantile_cont(resid, {_QQ_P})), 6) AS sample FROM aug""")
+@query("qq_points", f"""WITH {AUG} SELECT unnest({_QQ_P})::DOUBLE AS p, round(unnest({_QQ_Z})::DOUBLE, 6) AS theoretical, round(unnest(quantile_cont(resid, {_QQ_P})), 6) AS sample,
+ round(quantile_cont(resid, 0.25) + (quantile_cont(resid, 0.75) - quantile_cont(resid, 0.25)) / 2 * (1 + unnest({_QQ_Z})::DOUBLE / {_QQ_Z[74]}), 6) AS line FROM aug""")
 def _(t):
     df = reg(t)
     f = full_fit(df)
@@ -194,13 +217,23 @@ def _(t):
 _PAIR = ["charge", "price", "qty"]
 
 
+def _pair_hist_sql(c):
+    return f"""SELECT '{c}', '{c}', NULL, bin, count(*) FROM (SELECT least(floor(({c} - lo) / w), 9)::INT + 1 AS bin FROM reg,
+ (SELECT min({c}) AS lo, (max({c}) - min({c})) / 10 AS w FROM reg)) GROUP BY bin"""
+
+
 @query("pair_summary", f"WITH {REG} " + " UNION ALL ".join(
-    f"SELECT '{a}' AS x, '{b}' AS y, round(corr({a}, {b}), 6) AS r FROM reg" for i, a in enumerate(_PAIR) for b in _PAIR[i + 1:]))
+    [f"SELECT '{a}' AS x, '{b}' AS y, round(corr({a}, {b}), 6) AS r, NULL::INT AS bin, NULL::BIGINT AS n FROM reg" for i, a in enumerate(_PAIR) for b in _PAIR[i + 1:]]
+    + [_pair_hist_sql(c) for c in _PAIR]))
 def _(t):
-    long = assoc.correlation_long(t.spark, assoc.correlation(reg(t), _PAIR))
+    df = reg(t)
+    long = assoc.correlation_long(t.spark, assoc.correlation(df, _PAIR))
     place = {c: i for i, c in enumerate(_PAIR)}
     pos = lambda c: S.case_when(*[(F.col(c) == k, F.lit(v)) for k, v in place.items()])
-    return rnd(long.where(pos("row") < pos("col")).toDF("x", "y", "r"))
+    pairs = rnd(long.where(pos("row") < pos("col")).toDF("x", "y", "r"))
+    pairs = pairs.select("*", F.lit(None).cast("int").alias("bin"), F.lit(None).cast("long").alias("n"))
+    return pairs.unionByName(ch.histograms(df, _PAIR, 10).select(
+        F.col("variable").alias("x"), F.col("variable").alias("y"), F.lit(None).cast("double").alias("r"), "bin", "n"))
 
 
 # ── tests ────────────────────────────────────────────────────────────────────

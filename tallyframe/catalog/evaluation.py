@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tallyframe.catalog.models import (
@@ -249,19 +251,24 @@ UNION ALL SELECT 'test', 'mae', round(avg(abs(e)), 6) FROM sc UNION ALL SELECT '
 UNION ALL SELECT 'test', 'mape', round(avg(abs(e / charge)) * 100, 6) FROM sc
 UNION ALL SELECT 'test', 'r2', round(1 - sum(e * e) / sum(pow(charge - m, 2)), 6) FROM sc, mu
 UNION ALL SELECT 'coefficient', term, estimate FROM ({tidy_sql(XS)}) UNION ALL SELECT 'significant', term, (p_value < 0.05)::INT::DOUBLE FROM ({tidy_sql(XS)})
-UNION ALL SELECT 'worst', (row_number() OVER (ORDER BY abs(e) DESC, {_KEYS}))::VARCHAR, round(abs(e), 6) FROM {_WORST}""")
+UNION ALL SELECT section, term, value FROM ({tidy_sql(XS)}) UNPIVOT (value FOR section IN (std_error, conf_low, conf_high, p_value)) UNION ALL SELECT 'size', 'predictors', 3
+UNION ALL SELECT section, i::VARCHAR, round(value, 6) FROM (SELECT row_number() OVER (ORDER BY abs(e) DESC, {_KEYS}) AS i, abs(e) AS worst,
+ charge AS worst_actual, pred AS worst_predicted, e AS worst_residual FROM {_WORST}) UNPIVOT (value FOR section IN (worst, worst_actual, worst_predicted, worst_residual))""")
 def _(t):
     train, test = train_test(t)
     f = full_fit(train)
     g, df = f.glance_row(), f.predict(test, "pred")
     m = ev.metric_columns(F.col("charge"), F.col("pred"), f.ybar)
     got = df.agg(*[m[k].alias(k) for k in ("n", "mae", "rmse", "mape", "r2_vs_train_mean")]).first()
-    rows = [("size", "train", float(f.n)), ("size", "test", float(got["n"]))]
+    rows = [("size", "train", float(f.n)), ("size", "test", float(got["n"])), ("size", "predictors", float(f.p))]
     rows += [("model", k, g[k]) for k in ("r_squared", "adj_r_squared", "sigma")]
     rows += [("test", k, got[k]) for k in ("mae", "rmse", "mape")] + [("test", "r2", got["r2_vs_train_mean"])]
     for r in f.tidy_rows():
-        rows += [("coefficient", r[0], r[1]), ("significant", r[0], 1.0 if r[4] < 0.05 else 0.0)]
-    rows += [("worst", str(i), r["abs_error"]) for i, r in enumerate(worst(df).collect(), 1)]
+        rows += [("coefficient", r[0], r[1]), ("significant", r[0], 1.0 if r[4] < 0.05 else 0.0), ("std_error", r[0], r[2]),
+                 ("p_value", r[0], r[4]), ("conf_low", r[0], r[5]), ("conf_high", r[0], r[6])]
+    for i, r in enumerate(worst(df).collect(), 1):
+        rows += [("worst", str(i), r["abs_error"]), ("worst_actual", str(i), r["charge"]), ("worst_predicted", str(i), r["pred"]),
+                 ("worst_residual", str(i), math.copysign(r["abs_error"], r["charge"] - r["pred"]))]
     schema = "section string, item string, value double"
     out = rnd(t.spark.createDataFrame(rows, schema))
     return out.unionByName(rnd(t.spark.createDataFrame([("model", "aic", g["aic"])], schema), 2))

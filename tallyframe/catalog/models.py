@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.catalog.registry import LINE_KEY, REG, TRAIN_SQL, query, reg, rnd, rnd_rows
-from tallyframe.catalog.sqlkit import f_tail, hat, intercept_var, pred, sweep, t_crit, t_tail
+from tallyframe.catalog.sqlkit import chi2_tail_3, f_tail, hat, intercept_var, pred, sweep, t_crit, t_tail
 from tallyframe.operators.chartdata import column_range
 from tallyframe.plans import evaluate as ev
 from tallyframe.plans import ols
@@ -232,11 +232,23 @@ def _(t):
     return rnd(t.spark.createDataFrame(rows, "direction string, terms string, score double"), 4)
 
 
-@query("aic_table", f"WITH {REG}, {NESTED} " + " UNION ALL ".join(
+# One more column for the error variance; the search scores leave the constant out.
+_AIC = "score + n * (ln(2 * pi()) + 1) + 2"
+
+
+@query("aic_table", f"WITH {REG}, {NESTED}, {_STEP}, a AS ({_STEP_ALL}), best AS (SELECT * FROM a ORDER BY score LIMIT 1) " + " UNION ALL ".join(
     f"SELECT '{nm}' AS model, {i + 2}::INT AS df, round(n * (ln(2 * pi() * rss / n) + 1) + 2 * ({i} + 2), 2) AS aic FROM f{i}"
-    for i, (nm, _) in enumerate(LADDER, 1)))
+    for i, (nm, _) in enumerate(LADDER, 1)) + f"""
+UNION ALL SELECT 'null', 2, round(n * (ln(2 * pi() * tss / n) + 1) + 4, 2) FROM f1
+UNION ALL SELECT 'full', 6, round(n * (ln(2 * pi() * rss / n) + 1) + 12, 2) FROM s15
+UNION ALL SELECT d, (len(string_split(terms, ' + ')) + 2)::INT, round({_AIC}, 2) FROM best, (SELECT n FROM s15), (VALUES ('backward'), ('forward'), ('both')) v(d)""")
 def _(t):
     rows = [(nm, f.p + 2, f.aic) for nm, f in ladder_fits(t).items()]
+    m, terms, y = moment_state(reg(t), STEP_XS)
+    rows += [("null", 2, ols.solve(m, terms, y, names=[]).aic), ("full", len(STEP_XS) + 2, ols.solve(m, terms, y).aic)]
+    for direction in ("backward", "forward", "both"):
+        f, _trace = ols.stepwise(m, terms, y, direction)
+        rows.append((direction, f.p + 2, f.aic))
     return rnd(t.spark.createDataFrame(rows, "model string, df int, aic double"), 2)
 
 
@@ -358,11 +370,11 @@ def _(t):
 
 
 @query("breusch_pagan", f"""WITH {AUG}, e2 AS (SELECT *, resid * resid AS e2 FROM aug), {sweep('h', 'e2', XS, 'e2')}
-SELECT round(n * (1 - rss / tss), 4) AS statistic, 3::INT AS df FROM h""")
+SELECT round(n * (1 - rss / tss), 4) AS statistic, 3::INT AS df, {chi2_tail_3('(n * (1 - rss / tss))')} AS p_value FROM h""")
 def _(t):
     df = reg(t)
     bp = ols.breusch_pagan(df, full_fit(df))
-    return rnd(t.spark.createDataFrame([(bp["statistic"], bp["df"])], "statistic double, df int"), 4)
+    return rnd(t.spark.createDataFrame([(bp["statistic"], bp["df"], bp["p_value"])], "statistic double, df int, p_value double"), 4, p_value=6)
 
 
 @query("scale_location", f"WITH {AUG} SELECT round(fitted, 5) AS fitted, round(sqrt(abs(std_resid)), 5) AS root_std_resid FROM aug")

@@ -130,3 +130,12 @@ def key_hash(keys: list[str], salt: str = "0") -> str:
 
 def bucket(keys: list[str], n: int, salt: str = "0") -> str:
     return f"({key_hash(keys, salt)} % {n})"
+
+
+def chi2_tail_3(x: str) -> str:
+    """Upper tail of chi-square with three degrees of freedom by Simpson's rule."""
+    top, n = f"least(sqrt({x}), 12.0)", 2000
+    u = f"(i * {top} / {n})"
+    w = f"CASE WHEN i = 0 OR i = {n} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    area = f"list_sum(list_transform(range(0, {n + 1}), lambda i: ({w}) * pow({u}, 2) * exp(-pow({u}, 2) / 2)))"
+    return f"abs(round(1 - sqrt(2 / pi()) * {top} / {n} / 3 * {area}, 6))"

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.dist import normal_quantile
+from tallyframe.functions.dist import normal_quantile, t_quantile_column
 from tallyframe.operators.describe import outside
 from tallyframe.operators.features import band_by_edges
 from tallyframe.operators.quantiles import grouped_quantiles, quantiles
@@ -33,6 +33,24 @@ def histogram(df: DataFrame, col: str, bins: int, bounds: tuple[float, float] |
     )
 
 
+def histograms(df: DataFrame, cols: list[str], bins: int) -> DataFrame:
+    """(variable, bin, n) of several columns: bins 1..bins of equal width that are not empty;
+    two scans for all columns."""
+    ends = df.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c) for c in cols]).first()
+    counts = []
+    for c in cols:
+        lo, hi = ends[c]
+        if lo is None:
+            continue
+        width = (hi - lo) / bins or 1.0
+        x = F.col(c).cast("double")
+        at = F.when(x.isNotNull(), F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)) + 1)
+        counts += [F.struct(F.lit(c).alias("variable"), F.lit(b).alias("bin"), F.count_if(at == b).alias("n")) for b in range(1, bins + 1)]
+    if not counts:
+        return df.sparkSession.createDataFrame([], "variable string, bin int, n long")
+    return df.agg(F.array(*counts).alias("h")).select(F.inline("h")).where("n > 0")
+
+
 def histogram_width(df: DataFrame, col: str, width: float) -> DataFrame:
     b = F.floor(F.col(col) / width)
     return df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count("*").alias("n")).select(
@@ -102,10 +120,23 @@ def box_stats(df: DataFrame, by: list[str], col: str, mult: float = 1.5) -> Data
 
 
 def qq_points(df: DataFrame, col: str, k: int = 99) -> DataFrame:
+    """(p, theoretical, sample, line) at k probabilities."""
     probs = [(i + 1) / (k + 1) for i in range(k)]
     sample = quantiles(df, [col], probs)[col]
     rows = [(p, normal_quantile(p), s) for p, s in zip(probs, sample)]
-    return df.sparkSession.createDataFrame(rows, "p double, theoretical double, sample double")
+    out = df.sparkSession.createDataFrame(rows, "p double, theoretical double, sample double")
+    slope, start = qq_line(df, col)
+    return out.withColumn("line", F.lit(start) + F.lit(slope) * F.col("theoretical"))
+
+
+def qq_line(df: DataFrame, col: str) -> tuple[float | None, float | None]:
+    """Slope and intercept of the line through the quartiles of a Q–Q plot."""
+    q1, q3 = quantiles(df, [col], [0.25, 0.75])[col]
+    if q1 is None:
+        return None, None
+    z = normal_quantile(0.75)
+    slope = (q3 - q1) / (2 * z)
+    return slope, q1 + slope * z
 
 
 def binned_trend(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
@@ -121,3 +152,29 @@ def linear_trends(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
     return df.groupBy(*by).agg(
         F.regr_slope(fy, fx).alias("slope"), F.regr_intercept(fy, fx).alias("intercept"),
         F.regr_r2(fy, fx).alias("r2"), F.count("*").alias("n"))
+
+
+def trend_band(df: DataFrame, by: list[str], x: str, y: str, points: int = 80, level: float = 0.95) -> DataFrame:
+    """(by, x, fit, lower, upper): each group's fitted line with the confidence band of its
+    mean on an even grid over the group's x.
+
+    One aggregate; every group has its own degrees of freedom.  Rows with an unknown x or
+    y take no part.  Groups of two rows have a line without band, those with a single x
+    neither.
+    """
+    fx, fy = F.col(x).cast("double"), F.col(y).cast("double")
+    known = df.where(fx.isNotNull() & fy.isNotNull() & ~F.isnan(fx) & ~F.isnan(fy))
+    g = known.groupBy(*by).agg(
+        F.count("*").alias("__n"), F.min(fx).alias("__lo"), F.max(fx).alias("__hi"), F.avg(fx).alias("__mx"), F.avg(fy).alias("__my"),
+        F.regr_sxx(fy, fx).alias("__sxx"), F.regr_syy(fy, fx).alias("__syy"), F.regr_sxy(fy, fx).alias("__sxy")).where("__n > 0")
+    slope = F.try_divide("__sxy", "__sxx")
+    rest = F.greatest(F.col("__syy") - slope * F.col("__sxy"), F.lit(0.0))
+    sigma = F.when(F.col("__n") > 2, F.sqrt(rest / F.nullif(F.col("__n") - 2, F.lit(0))))
+    g = g.select(*by, "__n", "__lo", "__hi", "__mx", "__my", "__sxx", slope.alias("__b"), sigma.alias("__s"),
+                 t_quantile_column(0.5 + level / 2, F.col("__n") - 2).alias("__t"))
+    step = (F.col("__hi") - F.col("__lo")) / (points - 1)
+    grid = g.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))).withColumn("__x", F.col("__lo") + F.col("__i") * step)
+    off = F.col("__x") - F.col("__mx")
+    fit = F.col("__my") + F.col("__b") * off
+    half = F.col("__t") * F.col("__s") * F.sqrt(1.0 / F.col("__n") + F.try_divide(off * off, F.col("__sxx")))
+    return grid.select(*by, F.col("__x").alias("x"), fit.alias("fit"), (fit - half).alias("lower"), (fit + half).alias("upper"))

@@ -7,6 +7,7 @@ state.  Steps see the training frame as the earlier steps left it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -46,19 +47,21 @@ class Recipe:
         self.outcome, self.predictors, self.keys = outcome, list(predictors), list(keys)
         self.steps: list[tuple] = []
 
-    def step(self, fit: Callable, cols=all_predictors, **options) -> Recipe:
-        self.steps.append((fit, cols, options))
+    def step(self, fit: Callable, cols=all_predictors, skip: bool = False, **options) -> Recipe:
+        """``skip`` keeps the step to the training rows: new rows are baked without it."""
+        self.steps.append((fit, cols, skip, options))
         return self
 
     def prep(self, train: DataFrame) -> Prepped:
         names = [*self.keys, self.outcome, *self.predictors]
         df, done = train.select(*names), []
-        for fit, cols, options in self.steps:
+        for fit, cols, skip, options in self.steps:
             if callable(cols):
                 cols = cols(df, self.outcome, self.keys)
             apply = fit(df, list(cols), **options)
             df = apply(df)
-            done.append(apply)
+            if not skip:
+                done.append(apply)
         return Prepped(names, done, df)
 
 
@@ -232,8 +235,10 @@ def integer(train, cols):
 
 # ── numeric transforms ───────────────────────────────────────────────────────
 
-def log(train, cols, offset: float = 0.0):
-    return _replacing({c: F.ln(F.col(c) + offset) for c in cols})
+def log(train, cols, offset: float = 0.0, base: float | None = None):
+    """Natural logarithm, or to another base."""
+    scale = 1.0 if base is None else math.log(base)
+    return _replacing({c: F.ln(F.col(c) + offset) / F.lit(scale) for c in cols})
 
 
 def sqrt(train, cols):
