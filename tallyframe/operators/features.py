@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators.describe import mode
+from tallyframe.operators.ordering import row_numbers
 from tallyframe.operators.quantiles import grouped_quantiles, quantiles
 from tallyframe.session import SMALL_ROWS, State
 
@@ -73,6 +74,34 @@ def one_hot(df: DataFrame, col: str, levels: list, drop_first: bool = False, kee
     return out if keep else out.drop(col)
 
 
+class LevelIds:
+    """Numbers 1, 2, … of a category's training levels in sorted order, for any number of
+    levels: they are ranked where they lie and joined as state."""
+
+    def __init__(self, train: DataFrame, col: str):
+        levels = train.select(F.col(col).alias("__level")).where(F.col(col).isNotNull()).distinct()
+        self.col = col
+        self.state = State(row_numbers(levels, ["__level"], "__id"), ["__level"])
+
+    def attach(self, df: DataFrame, name: str) -> DataFrame:
+        """df with the level's number; 0 for levels not seen in training, NULL for NULL."""
+        out = self.state.attach(df.withColumn("__level", F.col(self.col)))
+        number = F.when(F.col(self.col).isNotNull(), F.coalesce("__id", F.lit(0).cast("long")))
+        return out.withColumn("__number", number.cast("int")).drop("__level", "__id").withColumn(name, F.col("__number")).drop("__number")
+
+
+def one_hot_sparse(df: DataFrame, ids: LevelIds, name: str) -> DataFrame:
+    """One column for all levels: (size, indices, values) as sparse vectors have it.  NULL
+    and unseen levels have no index."""
+    size = ids.state.df.count()
+    out = ids.attach(df, "__at")
+    hit = F.col("__at") > 0
+    nothing = F.array().cast("array<int>"), F.array().cast("array<double>")
+    return out.withColumn(name, F.struct(
+        F.lit(size).alias("size"), F.when(hit, F.array(F.col("__at") - 1)).otherwise(nothing[0]).alias("indices"),
+        F.when(hit, F.array(F.lit(1.0))).otherwise(nothing[1]).alias("values"))).drop("__at")
+
+
 class KeyEncoding:
     """Per-category statistic of the training rows, joined to any frame."""
 

@@ -7,9 +7,10 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.operators.quantiles import order_statistics
 from tallyframe.session import State, materialize
 
 _POS_MASK = (1 << 33) - 1
@@ -50,6 +51,61 @@ def row_numbers(df: DataFrame, order: list, name: str = "obs", by: list[str] = (
     return out.withColumn(name, F.col(name) - F.col("__first") + 1).drop("__first", "__size")
 
 
+# Rows about the wanted positions that one task may number.
+TAKEN = 10_000
+
+
+def rows_between(df: DataFrame, order: list[str], lo: int, hi: int, name: str = "obs") -> DataFrame:
+    """Rows at positions lo..hi (from 1) in ``order``, with their position.
+
+    The first order column's values at the two positions are found by rank selection;
+    only rows between these are sorted, and of those no more than are needed to reach
+    position hi.  NULLs come first.  ``order`` should be total to be repeatable.
+    """
+    place = _as_number(df, order[0])
+    if place is None:  # no numbers to select by
+        return row_numbers(df, order, name).where(F.col(name).between(lo, hi))
+    rows = df.withColumn("__at", place)
+    total, gone = rows.agg(F.count("*"), F.count_if(F.col("__at").isNull())).first()
+
+    def ranks(n: int) -> list[int]:
+        return [max(lo - 1 - gone, 0), min(hi - 1 - gone, n - 1)] if n and hi > gone else []
+
+    share = [min(max((r - gone) / max(total - gone, 1), 0.0), 1.0) for r in (lo - 1, hi - 1)]
+    got = order_statistics(rows, {"__at": (share, ranks)})["__at"]
+    low, high = (min(got.values()), max(got.values())) if got else (None, None)
+    keep, below = F.lit(False), 0
+    if lo <= gone:
+        keep = F.col("__at").isNull()
+    else:
+        below = gone
+    if got and hi > gone:
+        if lo > gone:
+            keep = F.col("__at").between(low, high)
+            below += rows.where(F.col("__at") < low).count()
+        else:
+            keep = keep | (F.col("__at") <= high)
+    some = rows.where(keep).drop("__at")
+    if hi - below <= TAKEN:
+        numbered = some.orderBy(*order).limit(max(hi - below, 0))
+        numbered = numbered.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))  # TAKEN rows at most
+    else:
+        numbered = row_numbers(some, order, name)
+    return numbered.withColumn(name, F.col(name) + below).where(F.col(name).between(lo, hi))
+
+
+def _as_number(df: DataFrame, col: str) -> Column | None:
+    """A column as numbers in the same order, exact as doubles; None for other types."""
+    kind, c = dict(df.dtypes)[col], F.col(f"`{col}`")
+    if kind in ("tinyint", "smallint", "int", "float", "double", "date"):
+        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double") if kind == "date" else c.cast("double")
+    if kind == "timestamp":
+        return F.unix_micros(c).cast("double")
+    if kind == "timestamp_ntz":
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{col}`)").cast("double")
+    return None
+
+
 def adjacent_sums(df: DataFrame, value: Column, order: list, by: list[str] = ()) -> dict:
     """Σ(vₜ−vₜ₋₁)², Σ|vₜ−vₜ₋₁|, Σv², pairs and rows over neighbours in order.
 

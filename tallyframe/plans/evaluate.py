@@ -246,7 +246,7 @@ def learning_curve(spark: SparkSession, df: DataFrame, y: Column, terms: dict[st
     """
     rep_bucket = F.explode(F.array(*[F.lit(r * parts) + bucket(keys, parts, salt=r) for r in range(reps)]))
     rows = df.withColumn("__rb", rep_bucket)
-    got = grouped_moments(rows, {**terms, Y: y.cast("double")}, F.col("__rb"))
+    got = grouped_moments(rows, {**terms, Y: y.cast("double")}, F.col("__rb"), first=df)
     out = []
     for r in range(reps):
         cell = {b: got[r * parts + b] for b in range(parts) if r * parts + b in got}

@@ -21,7 +21,7 @@ WIDE = 12
 @dataclass
 class Moments:
     names: list[str]
-    center: np.ndarray      # fixed shift, near the means, keeps digits
+    center: np.ndarray      # fixed shift, near the data, keeps digits
     n: float
     s: np.ndarray           # Σ(x−c)
     p: np.ndarray           # Σ(x−c)(x−c)'
@@ -60,24 +60,43 @@ class Moments:
         return np.clip(r, -1.0, 1.0)
 
 
-def _center(data: DataFrame, k: int) -> np.ndarray:
-    """The means of all rows, so that sums about them keep their digits however the
-    rows are ordered."""
-    row = data.agg(*[F.avg(f"m{i}") for i in range(k)]).first() if k else []
+# Rows that a first centre is taken from; any value among the data will do.
+FIRST = 4096
+# A mean this many standard deviations from the centre costs digits: sum again about it.
+FAR = 1e4
+
+
+def _means(row) -> np.ndarray:
     return np.array([0.0 if v is None or not np.isfinite(v) else v for v in row])
 
 
-def grouped_moments(df: DataFrame, terms: dict[str, Column], by: Column | None = None) -> dict:
-    """Moments per value of ``by`` (a bounded key such as a fold), complete rows only."""
+def grouped_moments(df: DataFrame, terms: dict[str, Column], by: Column | None = None, first: DataFrame | None = None) -> dict:
+    """Moments per value of ``by`` (a bounded key such as a fold), complete rows only.
+
+    One scan: the centre, which need only lie near the data, comes from a few rows (of
+    ``first``, where df has copies of rows).  Should the means turn out to be far from it,
+    as when those rows are outliers, the sums are made again about the means.
+    """
     names = list(terms)
     key = by if by is not None else F.lit(0)
-    data = df.select(key.alias("g"), *[
-        c.cast("double").alias(f"m{i}") for i, c in enumerate(terms.values())
-    ]).dropna(subset=[f"m{i}" for i in range(len(names))])
-    c = _center(data, len(names))
-    if len(names) <= WIDE:
-        return _sum_moments(data, names, c)
-    return _block_moments(data, names, c)
+
+    def chosen(frame: DataFrame, *more: Column) -> DataFrame:
+        cells = [c.cast("double").alias(f"m{i}") for i, c in enumerate(terms.values())]
+        return frame.select(*more, *cells).dropna(subset=[f"m{i}" for i in range(len(names))])
+
+    data = chosen(df, key.alias("g"))
+    sums = _sum_moments if len(names) <= WIDE else _block_moments
+    if not names:
+        return sums(data, names, np.zeros(0))
+    few = chosen(df if first is None else first).limit(FIRST)
+    got = sums(data, names, _means(few.agg(*[F.avg(f"m{i}") for i in range(len(names))]).first()))
+    if got:
+        every = total(got.values())
+        sd = np.sqrt(np.maximum(np.diag(every.sxx), 0) / every.n)
+        off = np.abs(every.s / every.n)
+        if every.n > 1 and np.any(off > FAR * np.maximum(sd, 1e-12 * np.abs(every.center))):
+            got = sums(data, names, _means(every.mean))
+    return got
 
 
 def moments(df: DataFrame, terms: dict[str, Column]) -> Moments:

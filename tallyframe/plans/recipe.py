@@ -225,12 +225,15 @@ def dummy(train, cols, one_hot: bool = False):
 
 
 def integer(train, cols):
-    """Level number in sorted order; 0 for levels not seen in training."""
-    exprs = {}
-    for c in cols:
-        lv = features.fit_levels(train, c)
-        exprs[c] = F.array_position(F.array(*map(F.lit, lv)), F.col(c)).cast("int")
-    return _replacing(exprs)
+    """Level number in sorted order; 0 for levels not seen in training.  Any number of levels."""
+    ids = {c: features.LevelIds(train, c) for c in cols}
+
+    def apply(df):
+        for c, numbers in ids.items():
+            df = numbers.attach(df, c)
+        return df
+
+    return apply
 
 
 # ── numeric transforms ───────────────────────────────────────────────────────
