@@ -151,6 +151,10 @@ class Model:
             before = word
         return out
 
+    def gives_back(self, word: str, ids: list[int]) -> bool:
+        """Whether ids read as the marked word."""
+        return b"".join(map(self.bytes.__getitem__, ids)) == word.replace(MARK, " ").encode()
+
     def decode(self, ids) -> str:
         """The text of ids by either encoding."""
         return b"".join(map(self.bytes.__getitem__, ids))[1:].decode("utf-8", "replace")
@@ -167,7 +171,7 @@ class Encoder:
         self.code: dict[str, int] = {}
         self.flat = [np.zeros(0, np.int32)] * 2
         self.starts = [np.zeros(1, np.int64)] * 2
-        self.scores = np.zeros(0)
+        self.scores, self.lost = np.zeros(0), np.zeros(0, np.int64)
 
     def learn(self, words: list[str]) -> np.ndarray:
         new = [w for w in words if w not in self.code]
@@ -182,10 +186,13 @@ class Encoder:
             self.flat[side] = np.concatenate([self.flat[side], ids])
             self.starts[side] = np.concatenate([self.starts[side], self.starts[side][-1] + np.cumsum(size)])
         self.scores = np.concatenate([self.scores, np.array([v[2] for v in got.values()], float)])
+        lost = np.fromiter((not self.model.gives_back(w, v[0]) for w, v in got.items()), np.int64, len(got))
+        self.lost = np.concatenate([self.lost, lost])
         return np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
 
     def encode(self, words: pa.Array, offsets: np.ndarray, prefix: str):
-        """Per text: ends of its ids and the ids, by merges and by Viterbi, and its score."""
+        """Per text: ends of its ids and the ids, by merges and by Viterbi, its score, and
+        whether the ids by merges give it back, which they do if they do word by word."""
         coded = words.dictionary_encode()
         index = coded.indices.to_numpy()
         # words are cut once more where no piece of the vocabulary can cross
@@ -208,8 +215,31 @@ class Encoder:
             first, size = (np.cumsum(size) - size)[index], size[index]
             upto = np.concatenate([[0], np.cumsum(size)])
             out.append((upto[offsets].astype(np.int32), ids[spread(first, size)]))
-        upto = np.concatenate([[0], np.cumsum(total(self.scores[codes])[index])])
-        return (*out, upto[offsets[1:]] - upto[offsets[:-1]])
+        sums = [np.concatenate([[0], np.cumsum(total(x[codes])[index])]) for x in (self.scores, self.lost)]
+        score, lost = (x[offsets[1:]] - x[offsets[:-1]] for x in sums)
+        return (*out, score, lost == 0)
+
+
+def encoded(batches: Iterator[pa.RecordBatch], model_path: str):
+    """(rows, merged, path, score, same) for runs of rows (key, text); merged and path are
+    (ends, ids), NULL texts read as empty."""
+    encoder = Encoder(model_path)
+    for batch in batches:
+        for part in slices(batch, PART):
+            texts = pc.fill_null(part.column(1), "")
+            # texts with single blanks inside need no regular expression
+            odd = pc.or_(pc.match_substring_regex(texts, f"  |{MARK}|^ | $"), pc.equal(texts, ""))
+            for odd_, chosen in ((False, pc.invert(odd)), (True, odd)):
+                some = part.filter(chosen)
+                if not some.num_rows:
+                    continue
+                t = pc.fill_null(some.column(1), "")
+                if odd_:
+                    lists = pa.array([WORD.findall(MARK + x.replace(" ", MARK)) if x else [] for x in t.to_pylist()], pa.list_(pa.string()))
+                else:
+                    lists = pc.split_pattern(t, " ")
+                offsets = lists.offsets.to_numpy().astype(np.int64)
+                yield some, *encoder.encode(lists.flatten(), offsets - offsets[0], "" if odd_ else MARK)
 
 
 SCHEMA = "ids array<int>, viterbi_ids array<int>, viterbi_score double"
@@ -220,27 +250,11 @@ def encode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "t
     rows = docs.select(F.col(key), F.col(text).cast("string").alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model_path)
-        for batch in batches:
-            for part in slices(batch, PART):
-                texts = pc.fill_null(part.column(1), "")
-                # texts with single blanks inside need no regular expression
-                odd = pc.or_(pc.match_substring_regex(texts, f"  |{MARK}|^ | $"), pc.equal(texts, ""))
-                for odd_, chosen in ((False, pc.invert(odd)), (True, odd)):
-                    some = part.filter(chosen)
-                    if not some.num_rows:
-                        continue
-                    t = pc.fill_null(some.column(1), "")
-                    if odd_:
-                        lists = pa.array([WORD.findall(MARK + x.replace(" ", MARK)) if x else [] for x in t.to_pylist()], pa.list_(pa.string()))
-                    else:
-                        lists = pc.split_pattern(t, " ")
-                    offsets = lists.offsets.to_numpy().astype(np.int64)
-                    merged, path, score = encoder.encode(lists.flatten(), offsets - offsets[0], "" if odd_ else MARK)
-                    gone = pc.is_null(some.column(1))
-                    cols = [pa.ListArray.from_arrays(pa.array(o), pa.array(x)) for o, x in (merged, path)]
-                    cols = [pc.if_else(gone, pa.scalar(None, c.type), c) for c in (*cols, pa.array(score))]
-                    yield pa.RecordBatch.from_arrays([*some.columns, *cols], names=[key, text, "ids", "viterbi_ids", "viterbi_score"])
+        for some, merged, path, score, _ in encoded(batches, model_path):
+            gone = pc.is_null(some.column(1))
+            cols = [pa.ListArray.from_arrays(pa.array(o), pa.array(x)) for o, x in (merged, path)]
+            cols = [pc.if_else(gone, pa.scalar(None, c.type), c) for c in (*cols, pa.array(score))]
+            yield pa.RecordBatch.from_arrays([*some.columns, *cols], names=[key, text, "ids", "viterbi_ids", "viterbi_score"])
 
     kind = dict(docs.dtypes)[key]
     return rows.mapInArrow(run, f"{key} {kind}, {text} string, {SCHEMA}")
@@ -263,24 +277,27 @@ def decode(coded: DataFrame, model_path: str, ids: str = "ids", name: str = "dec
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.StringType())]))
 
 
-def summary(coded: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Counts and CRC-32 sums (of unsigned little-endian 32-bit ids) of both encodings,
-    and whether the text comes back from its ids."""
+def summary(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Counts and CRC-32 sums (of unsigned little-endian 32-bit ids) of both encodings, and
+    whether the text comes back from its ids.  The ids themselves do not leave the task;
+    NULL texts have NULL counts and come back."""
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+
+    def told(ends: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
+        raw = memoryview(ids.astype("<u4")).cast("B") if len(ids) else memoryview(b"")
+        at = (4 * ends.astype(np.int64)).tolist()
+        sums = [zlib.crc32(raw[a:b]) for a, b in zip(at, at[1:])]
+        return [np.diff(ends).astype(np.int64), np.array(sums, np.int64)]
 
-    def crc(ids) -> int | None:
-        return zlib.crc32(ids.values.to_numpy().astype("<u4").tobytes()) if ids.is_valid else None
+    names = ["n_pieces", "ids_crc32", "n_viterbi", "viterbi_crc32", "viterbi_score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(model_path)
-        for batch in batches:
-            ids, path = batch.column(2), batch.column(3)
-            same = [not t.is_valid or model.decode(i.values.to_numpy()) == t.as_py().replace(MARK, " ") for t, i in zip(batch.column(1), ids)]
-            cols = [pa.array([len(c.values) if c.is_valid else None for c in col], pa.int64()) for col in (ids, path)]
-            sums = [pa.array(map(crc, col), pa.int64()) for col in (ids, path)]
-            score = pc.cast(batch.column(4), pa.int64(), safe=False)
-            yield pa.RecordBatch.from_arrays([batch.column(0), cols[0], sums[0], cols[1], sums[1], score, pa.array(same)],
-                                             names=[key, "n_pieces", "ids_crc32", "n_viterbi", "viterbi_crc32", "viterbi_score", "round_trip"])
-
-    kind = dict(coded.dtypes)[key]
-    return coded.select(key, text, "ids", "viterbi_ids", "viterbi_score").mapInArrow(
-        run, f"{key} {kind}, n_pieces long, ids_crc32 long, n_viterbi long, viterbi_crc32 long, viterbi_score long, round_trip boolean")
+        for some, merged, path, score, same in encoded(batches, model_path):
+            gone = pc.is_null(some.column(1))
+            cols = [*told(*merged), *told(*path), score.astype(np.int64)]
+            cols = [pc.if_else(gone, pa.scalar(None, pa.int64()), pa.array(c)) for c in cols]
+            yield pa.RecordBatch.from_arrays([some.column(0), *cols, pa.array(same)], names=["key", *names, "round_trip"])
+
+    kind = rows.schema["key"].dataType.simpleString()
+    out = rows.mapInArrow(run, f"key {kind}, {', '.join(n + ' long' for n in names)}, round_trip boolean")
+    return out.withColumnRenamed("key", key)

@@ -116,8 +116,7 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op4_pieces")
 def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    model = tokenizer("piece_bpe_32k.model")
-    return pieces.summary(pieces.encode(table(spark, folder, "documents"), model), model)
+    return pieces.summary(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
 @query("op2_quotation_links", r"""

@@ -28,7 +28,7 @@ def docs(spark):
 OPERATORS = {
     "rules": lambda d, s: rules.apply_policy(rules.ledger(d), rules.V1),
     "packing": lambda d, s: packing.pack(d, WORDS),
-    "pieces": lambda d, s: pieces.summary(pieces.encode(d, PIECES), PIECES),
+    "pieces": lambda d, s: pieces.summary(d, PIECES),
     "dartminhash": lambda d, s: dartminhash.near_duplicates(d),
     "keep_one": lambda d, s: dartminhash.keep_one(d),
     "suffix": lambda d, s: suffix.remove(d, 100),

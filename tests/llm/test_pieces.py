@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import public_tokenizers
 import sentencepiece
@@ -56,5 +57,19 @@ def test_edges(spark, monkeypatch):
     assert sorted((r.doc_id or -1, r.text or "", r.decoded or "") for r in got) == sorted((k or -1, t or "", t or "") for k, t, _ in rows)
     assert [r.ids for r in got if r.doc_id == 1] == [None] and [r.ids for r in got if r.doc_id == 2] == [[]]
     assert pieces.encode(df.limit(0), PATH).count() == 0
-    sums = {(r.doc_id, r.n_pieces) for r in pieces.summary(pieces.encode(df, PATH), PATH).collect() if r.round_trip}
+    sums = {(r.doc_id, r.n_pieces) for r in pieces.summary(df, PATH).collect() if r.round_trip}
     assert sums == {(r.doc_id, None if r.ids is None else len(r.ids)) for r in got}
+
+
+def test_summary_is_that_of_the_ids(spark):
+    rows = [(i, t) for i, t in enumerate([*texts(spark)[:80], None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    crc = lambda ids: zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+    coded = {r.doc_id: r for r in pieces.encode(df, PATH).collect()}
+    for r in pieces.summary(df, PATH).collect():
+        c = coded[r.doc_id]
+        if c.ids is None:
+            assert (r.n_pieces, r.ids_crc32, r.round_trip) == (None, None, True)
+        else:
+            assert (r.n_pieces, r.ids_crc32, r.n_viterbi, r.viterbi_crc32) == (len(c.ids), crc(c.ids), len(c.viterbi_ids), crc(c.viterbi_ids))
+            assert r.round_trip and r.viterbi_score == int(c.viterbi_score)
