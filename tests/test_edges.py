@@ -1,6 +1,7 @@
 """Plain edge data: empty, one row, all NULL, constant, NULL group, perfect fit."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,3 +76,30 @@ def test_csv_brings_every_text_back(spark, tmp_path):
     df = spark.createDataFrame(rows, "i int, t string")
     write_csv(df, str(tmp_path / "c"))
     assert sorted(map(tuple, read_csv(spark, str(tmp_path / "c"), "i int, t string").collect())) == rows
+
+
+def test_a_large_csv_with_line_breaks_is_read_by_many_tasks(spark, tmp_path):
+    """Split borders fall into lines, texts and quotes; a text may span several splits."""
+    rnd = random.Random(5)
+    bits = ["a", '"', ",", "\n", "\r\n", " ", "é", '""', "\n\n", "x,y", '"\n"']
+    rows = [(i, None if i % 9 == 0 else "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12))), i / 4) for i in range(3000)]
+    rows += [(9000, "long " + "line\n" * 3000, 1.0), (9001, None, None), (9002, 'i,t,v', 2.0)]
+    df = spark.createDataFrame(rows, "i int, t string, v double").coalesce(2)
+    write_csv(df, str(tmp_path / "c"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("3000", "1000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", size)
+            got = read_csv(spark, str(tmp_path / "c"), "i int, t string, v double")
+            assert sorted(map(tuple, got.collect())) == sorted(rows)
+            tasks = spark.read.text(str(tmp_path / "c")).rdd.getNumPartitions()
+            assert tasks > 10 if size == "3000" else tasks <= 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    with pytest.raises(Exception):
+        write_csv(spark.createDataFrame([("x",)], "t string"), str(tmp_path / "bad"))
+        read_csv(spark, str(tmp_path / "bad"), "i int, j int").collect()
+    write_csv(df.limit(0), str(tmp_path / "none"))
+    assert read_csv(spark, str(tmp_path / "none"), "i int, t string, v double").count() == 0
