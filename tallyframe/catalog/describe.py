@@ -10,7 +10,6 @@ from tallyframe.operators import describe as d
 from tallyframe.operators import frame as fr
 from tallyframe.operators.features import fit_zscore
 from tallyframe.operators.quantiles import grouped_quantiles, median, quantiles, trimmed_mean
-from tallyframe.session import State
 
 
 def one_row(t, **values):
@@ -309,8 +308,9 @@ def _(t):
     stats = t.part.groupBy("p_brand").agg(
         F.count("*").alias("n"), F.avg(x).alias("price_mean"), F.stddev_samp(x).alias("price_sd"),
         d.share_true(x > 950).alias("pct_above"))
-    med = grouped_quantiles(t.part, ["p_brand"], "p_retailprice", [0.5], ["price_median"])
-    return rnd(State(med, ["p_brand"]).attach(stats).orderBy(F.desc("price_mean"), "p_brand"))
+    med = grouped_quantiles(t.part, ["p_brand"], "p_retailprice", [0.5], ["price_median"]).withColumnRenamed("p_brand", "brand")
+    both = stats.join(med, F.col("p_brand").eqNullSafe(F.col("brand"))).drop("brand")     # one row a brand on both sides
+    return rnd(both.orderBy(F.desc("price_mean"), "p_brand"))
 
 
 # ── missing values ───────────────────────────────────────────────────────────

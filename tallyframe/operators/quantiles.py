@@ -236,7 +236,7 @@ def group_brackets(df: DataFrame, by: list[str], col: str, probs: list[float]) -
     grid = [i / GRID for i in range(GRID + 1)]
     inside = None
     while True:
-        most = state.df.agg(F.max(F.greatest(*[F.col(f"__in{j}") for j in range(k)], F.lit(0.0)))).first()[0] or 0.0
+        most = state.largest(*[f"__in{j}" for j in range(k)])
         if most <= RANKED or (inside is not None and most >= inside):
             return state
         inside = most

@@ -7,6 +7,8 @@ import uuid
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,8 +90,8 @@ def is_small(df: DataFrame, max_rows: int, max_bytes: int = SMALL_BYTES) -> bool
     return n.n <= max_rows and (n.b or 0) <= max_bytes
 
 
-def taken(df: DataFrame, max_rows: int, max_bytes: int = SMALL_BYTES) -> DataFrame | None:
-    """df as a local table, or None when it is above a limit; found out by one job that
+def taken(df: DataFrame, max_rows: int, max_bytes: int = SMALL_BYTES) -> pa.Table | None:
+    """df's rows, or None when it is above a limit; found out by one job that
     fetches at most max_rows + 1 rows.  A row above a thousandth of max_bytes, which
     is fetched as NULLs, is taken for too large."""
     size = row_bytes(df)
@@ -98,7 +100,7 @@ def taken(df: DataFrame, max_rows: int, max_bytes: int = SMALL_BYTES) -> DataFra
     held = got["__bytes"].to_numpy() if got.num_rows else np.zeros(0)
     if got.num_rows > max_rows or held.sum() > max_bytes or (held > max_bytes // 1000).any():
         return None
-    return df.sparkSession.createDataFrame(got.drop_columns("__bytes"), df.schema)
+    return got.drop_columns("__bytes")
 
 
 class State:
@@ -113,13 +115,22 @@ class State:
         limit = SMALL_ROWS if max_rows is None else max_rows
         kept = df if stored else df.persist()
         try:
-            local = taken(kept, limit)
-            self.small = local is not None
-            self.df = local if self.small else df if stored else materialize(kept)
+            self.local = taken(kept, limit)
+            self.small = self.local is not None
+            if self.small:
+                self.df = df.sparkSession.createDataFrame(self.local, df.schema)
+            else:
+                self.df = df if stored else materialize(kept)
         finally:
             if not stored:
                 kept.unpersist()
 
+    def largest(self, *columns: str) -> float:
+        """The largest value of some columns, 0 at least; no job for a local table."""
+        if self.small:
+            return max([0.0, *(pc.max(self.local[c]).as_py() or 0.0 for c in columns)])
+        return self.df.agg(F.max(F.greatest(F.lit(0.0), *[F.col(c).cast("double") for c in columns]))).first()[0] or 0.0
+
     def attach(self, df: DataFrame, how: str = "left", hot: DataFrame | None = None) -> DataFrame:
         """Join the state onto df by its keys; NULL keys match NULL keys.
 
