@@ -163,16 +163,22 @@ def matrix(col: pa.Array) -> np.ndarray:
     return flat.reshape(len(col), -1)
 
 
-def route(rows: DataFrame, router: Router, probes: int) -> DataFrame:
-    """(id, v, part): each row in its ``probes`` most probable parts."""
+def route(rows: DataFrame, router: Router, probes: int, sizes: dict[int, int] | None = None, least: int = 0) -> DataFrame:
+    """(id, v, part): each row in its ``probes`` most probable parts, and in as many more
+    as it takes for them to hold ``least`` rows by the parts' ``sizes``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 s = router.scores(matrix(batch.column(1)))
-                top = np.argsort(-s, axis=1, kind="stable")[:, :probes]
-                take = pa.array(np.repeat(np.arange(len(s)), top.shape[1]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(top.ravel().astype(np.int32))],
+                top = np.argsort(-s, axis=1, kind="stable")
+                n = np.full(len(s), min(probes, s.shape[1]))
+                if sizes is not None:
+                    held = np.array([sizes.get(p, 0) for p in range(s.shape[1])])
+                    n = np.maximum(n, np.minimum((np.cumsum(held[top], axis=1) < least).sum(1) + 1, s.shape[1]))
+                take = pa.array(np.repeat(np.arange(len(s)), n))
+                chosen = top[np.arange(s.shape[1])[None, :] < n[:, None]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(chosen.astype(np.int32))],
                                                  names=["id", "v", "part"])
 
     return rows.mapInArrow(run, "id long, v array<double>, part int")
@@ -193,9 +199,10 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_i
     x = np.array([v for v in got if len(v) == d], float).reshape(-1, d)
     router = fit(x, n, k)
     rows = materialize(route(rows.where(F.size("v") == d), router, 1))
-    asked = route(asked.where(F.size("v") == d), router, router.probes)
     # chunks of rows and of queries, by the counts of the (few) parts
     sizes = {r.part: r.n for r in rows.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    # a query's own row may be among those its parts hold
+    asked = route(asked.where(F.size("v") == d), router, router.probes, sizes, k + 1)
     asks = {r.part: r.n for r in asked.groupBy("part").agg(F.count("*").alias("n")).collect()}
 
     def chunks(counts):

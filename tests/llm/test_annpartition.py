@@ -58,6 +58,25 @@ def test_recall_and_chunks(spark, monkeypatch):
     assert np.mean(hits) >= 0.9
 
 
+def test_parts_with_too_few_rows_lead_on_to_the_next(spark, monkeypatch):
+    """One probe into parts of about thirty rows still gives fifty answers."""
+    monkeypatch.setattr(ap, "EXACT", 100)
+    monkeypatch.setattr(ap, "SPREAD", 2)
+    real = ap.fit
+
+    def one_probe(*args, **kwargs):
+        router = real(*args, **kwargs)
+        router.probes = 1
+        return router
+
+    monkeypatch.setattr(ap, "fit", one_probe)
+    rng = np.random.default_rng(5)
+    x = np.repeat(4 * np.eye(8), 64, axis=0) + 0.2 * rng.normal(size=(512, 8))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    raw = ap.nearest(df, df.where("vec_id % 20 = 0"), k=200).groupBy("query_id").count().collect()
+    assert len(raw) == 26 and all(r["count"] == 200 for r in raw)
+
+
 def test_bisection_is_balanced_and_follows_the_graph():
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.normal(size=(100, 8)) * 0.2 + m for m in 3 * np.eye(8)[:4]])
