@@ -38,7 +38,7 @@ from tallyframe.llm.packing import slices, spread
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 500_000
 KNOWN_PAIRS = 300_000
 PART = 4_000_000
 
@@ -196,10 +196,13 @@ class Encoder:
         coded = words.dictionary_encode()
         index = coded.indices.to_numpy()
         # words are cut once more where no piece of the vocabulary can cross
-        bits, begin, inside = [], [], self.model.inside
+        bits, begin, inside, known = [], [], self.model.inside, self.code
         for w in coded.dictionary.to_pylist():
             w, a = prefix + w, 0
             begin.append(len(bits))
+            if w in known:  # met before, and not cut then
+                bits.append(w)
+                continue
             for n in range(1, len(w)):
                 if w[n - 1:n + 1] not in inside:
                     bits.append(w[a:n])
