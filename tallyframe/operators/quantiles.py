@@ -99,22 +99,46 @@ def _disjoint(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
 
 
 def _refine(data: DataFrame, want, brackets):
-    """Replace each bracket by the finer one that still covers its ranks."""
+    """Replace each bracket by the finer one that still covers its ranks.  A row is looked
+    up among the brackets of its column once, and sketched with the rows of its own only."""
     grid = [k / GRID for k in range(GRID + 1)]
-    aggs, where = [], []
+    # from 0: below, then of each bracket its low end, what lies within, the rest up to the next
+    edges = {i: np.array([e for lo, hi in spans for e in (lo, math.nextafter(lo, math.inf), max(hi, math.nextafter(lo, math.inf)))])
+             for i, spans in brackets.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passed = {i: np.zeros(len(e) + 1, np.int64) for i, e in edges.items()}
+
+        def rows(i, region, x, n):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(region), i, np.int32)), pa.array(region.astype(np.int32)), x, pa.array(n)],
+                                              names=["i", "region", "x", "n"])
+
+        for batch in batches:
+            for n, (i, e) in enumerate(edges.items()):
+                x = batch.column(n).drop_null().to_numpy()
+                region = np.searchsorted(e, x, side="right")
+                within = region % 3 == 2
+                passed[i] += np.bincount(region[~within], minlength=len(e) + 1)
+                if within.any():
+                    yield rows(i, region[within], pa.array(x[within]), np.ones(within.sum(), np.int64))
+        for i, n in passed.items():
+            yield rows(i, np.arange(len(n)), pa.nulls(len(n), pa.float64()), n)
+
+    part = data.select(*[f"c{i}" for i in brackets]).mapInArrow(run, "i int, region int, x double, n long")
+    met = part.groupBy("i", "region").agg(F.sum("n").alias("n"), F.percentile_approx("x", grid, ACCURACY).alias("cuts")).collect()
+    counts = {i: np.zeros(len(e) + 1, np.int64) for i, e in edges.items()}
+    cuts = {}
+    for r in met:
+        counts[r["i"]][r["region"]] = r["n"]
+        cuts[r["i"], r["region"]] = r["cuts"]
+    where = []
     for i, spans in brackets.items():
-        x = F.col(f"c{i}")
-        for lo, hi in spans:
-            open_x = F.when((x > lo) & (x < hi), x)
-            aggs.append(F.struct(
-                F.count_if(x < lo).alias("below"), F.count_if(x == lo).alias("at_lo"),
-                F.count(open_x).alias("n"), F.percentile_approx(open_x, grid, ACCURACY).alias("cuts"),
-            ).alias(f"b{len(aggs)}"))
-            where.append((i, lo, hi))
-    row = data.agg(*aggs).first()
+        upto = np.cumsum(counts[i])
+        for j, (lo, hi) in enumerate(spans):
+            where.append((i, lo, hi, {"below": int(upto[3 * j]), "at_lo": int(counts[i][3 * j + 1]), "n": int(counts[i][3 * j + 2]), "cuts": cuts.get((i, 3 * j + 2))}))
     out: dict[int, list] = {i: [] for i in brackets}
     inside = 0
-    for (i, lo, hi), got in zip(where, row):
+    for i, lo, hi, got in where:
         base, n = got["below"] + got["at_lo"], got["n"]
         for r in want[i]:
             if got["below"] <= r < base:

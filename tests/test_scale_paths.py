@@ -50,6 +50,21 @@ def test_refinement_runs(spark, tight, monkeypatch):
     assert calls
 
 
+def test_many_brackets_are_refined_with_one_sketch_a_row(spark, tight, monkeypatch):
+    """The work on a row does not grow with the number of brackets."""
+    df, rows = skewed(spark)
+    built, rounds = [], []
+    sketch, real = quantiles.F.percentile_approx, quantiles._refine
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda *a: built.append(1) or sketch(*a))
+    monkeypatch.setattr(quantiles, "_refine", lambda *a: rounds.append(1) or real(*a))
+    known = np.array([r[2] for r in rows if r[2] is not None])
+    probs = [k / 30 for k in range(31)]
+    got = quantiles.quantiles(df, ["x", "id"], probs)
+    assert np.allclose(got["x"], np.quantile(known, probs), rtol=1e-12)
+    assert np.allclose(got["id"], np.quantile(np.arange(len(rows)), probs))
+    assert rounds and len(built) == 2 + len(rounds)
+
+
 def test_grouped_quantiles_with_hot_and_null_group(spark, tight):
     df, rows = skewed(spark)
     df = df.withColumn("g", F.when(F.col("g") != 5, F.col("g")))
