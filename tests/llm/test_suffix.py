@@ -103,3 +103,20 @@ def test_edges(spark):
     assert suffix.remove(df.limit(0), 101).count() == 0
     with pytest.raises(ValueError):
         suffix.remove(df, 10)
+
+
+def test_query_returns_the_text_that_is_left(spark, tmp_path):
+    from tallyframe.llm.queries import QUERIES
+
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 8)))
+    p = " ".join(word() for _ in range(120))
+    texts = [" ".join(word() for _ in range(30)) + p + " ".join(word() for _ in range(i)) for i in range(6)]
+    texts += [" ".join(word() for _ in range(90)) for _ in range(4)] + [None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op6_suffix_dedup"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: tuple(r)[1:5] for r in rows} == dict(enumerate(brute(texts, 400)))
+    for r in rows:
+        left = (r.text or "").encode()
+        assert (r.text is None) == (texts[r.doc_id] is None) and hashlib.sha256(left).hexdigest() == r.kept_sha256
+        assert len(left) == r.n_bytes - r.n_removed and (r.n_removed > 0) == (r.doc_id < 6)
